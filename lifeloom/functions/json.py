@@ -26,7 +26,8 @@ def scalar_field(parsed: str, text: str, key: str) -> Column:
     """
     value = F.col(f"{parsed}.{key}")
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col(text)), f"$.{key}", "variant"))
-    return F.when(~value.rlike(r"^[\[{]"), value).when(kind == "STRING", value)
+    plain = value.isNull() | ~F.substring(value, 1, 1).isin("{", "[")
+    return F.when(plain, value).when(kind == "STRING", value)
 
 
 def parse_flags(text: str) -> Column:

@@ -15,7 +15,7 @@ def identity_transitions(events: DataFrame, policy: Policy) -> DataFrame:
     logins = events.filter(F.col("user_id").isNotNull()).select("anon_id", "user_id", "event_time")
     ordered = with_neighbours(
         logins, ["anon_id"], "event_time", ["event_time", "user_id"], ["user_id"],
-        policy.event_slice_seconds,
+        policy.event_slice_seconds, skip=F.col("prev.user_id") == F.col("user_id"),
     )
     changed = F.col("prev").isNull() | (F.col("prev.user_id") != F.col("user_id"))
     return ordered.filter(changed).select(

@@ -58,7 +58,8 @@ def sessions(events: DataFrame, intervals: DataFrame, policy: Policy) -> DataFra
     owners = intervals.select(
         "anon_id", F.col("user_id").alias("stitched_user_id"), "valid_from", "valid_to"
     )
-    visits = device_sessions(events, policy)
-    return interval_join(visits, owners, ["anon_id"], "session_start_at", DAY, "left").drop(
-        "valid_from", "valid_to"
-    )
+    # Days with events cover the days with session starts, and are cheaper to list.
+    seen = events.select("anon_id", F.col("event_time").alias("session_start_at"))
+    return interval_join(
+        device_sessions(events, policy), owners, ["anon_id"], "session_start_at", DAY, "left", occupied=seen
+    ).drop("valid_from", "valid_to")

@@ -33,12 +33,17 @@ def with_neighbours(
     order: Sequence[str],
     carry: Sequence[str],
     slice_seconds: int,
+    skip: Column | None = None,
 ) -> DataFrame:
     """Add ``prev`` and ``next``: structs of ``carry`` from the adjacent rows of the key.
 
     ``order`` lists the sort columns and must begin with ``time``. Neighbours are found
-    inside each (key, slice). Only the rows at the slice edges then meet again per key: at
+    inside each (key, slice). The rows at the slice edges then meet once more per key: at
     most two per slice, a number set by the length of the history and not by its density.
+    All other rows stay grouped by slice in that second step, so it is one plain pass.
+
+    ``skip`` may name rows the caller does not want, in terms of ``prev`` and ``next``. Those
+    away from slice edges are dropped before the second step; the caller still filters.
     """
     if order[0] != time:
         raise ValueError("order must begin with the time column")
@@ -50,13 +55,15 @@ def with_neighbours(
         .withColumn("next", F.lead(row).over(inner))
     )
     at_edge = F.col("prev").isNull() | F.col("next").isNull()
-    outer = Window.partitionBy(*keys).orderBy(*order)
-    edges = local.filter(at_edge).select(
+    if skip is not None:
+        local = local.filter(at_edge | ~skip)
+    lanes = local.withColumn("_lane", F.when(~at_edge, F.col("_slice")))
+    outer = Window.partitionBy(*keys, "_lane").orderBy(*order)
+    return lanes.select(
         *df.columns,
         F.coalesce("prev", F.lag(row).over(outer)).alias("prev"),
         F.coalesce("next", F.lead(row).over(outer)).alias("next"),
     )
-    return local.filter(~at_edge).select(*df.columns, "prev", "next").unionByName(edges)
 
 
 def interval_join(
@@ -68,28 +75,41 @@ def interval_join(
     how: str = "left",
     start: str = "valid_from",
     end: str = "valid_to",
+    occupied: DataFrame | None = None,
 ) -> DataFrame:
     """Match rows to the half-open ``[start, end)`` intervals of their key holding ``time``.
 
-    An interval is repeated only for time slices in which its key has rows on the left, so
-    long or open intervals stay cheap, and the final join is a plain equality on
-    (key, slice): a busy key is spread over its slices, and adaptive execution can split a
-    busy slice further.
+    The join is a plain equality on (key, time slice) with the bounds checked on top: a
+    busy key is spread over its slices, and adaptive execution can split a busy slice. An
+    interval inside one slice is listed under that slice. A longer one is repeated only for
+    slices in which its key has rows, so long or open intervals stay cheap.
+
+    Those slices are taken from ``occupied`` when given: any frame with the keys and
+    ``time`` covering at least the slices of ``left``, useful when ``left`` is expensive.
+    Rows with a NULL key match nothing.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how!r}")
     width = slice_seconds * 1_000_000
-    has_key = all_of([F.col(k).isNotNull() for k in keys])
-    rows = left.filter(has_key).withColumn("_slice", slice_start(time, slice_seconds))
-    slices = rows.select(*keys, "_slice").distinct()
+    rows = left.withColumn("_slice", slice_start(time, slice_seconds))
+    if occupied is None:
+        occupied = left
+    slices = occupied.select(*keys, slice_start(time, slice_seconds).alias("_slice")).distinct()
+
+    first = F.col("_from") - F.pmod("_from", F.lit(width))
     spans = (
         intervals.withColumn("_from", F.unix_micros(start))
         .withColumn("_to", F.unix_micros(open_end(end)))
         .filter(F.col("_from") < F.col("_to"))
+        .withColumn("_first", first)
     )
-    candidates = slices.join(spans, list(keys)).filter(
-        (F.col("_from") < F.col("_slice") + width) & (F.col("_to") > F.col("_slice"))
+    is_short = F.col("_to") <= F.col("_first") + width
+    short = spans.filter(is_short).withColumnRenamed("_first", "_slice")
+    long = slices.join(spans.filter(~is_short), list(keys)).filter(
+        (F.col("_first") <= F.col("_slice")) & (F.col("_to") > F.col("_slice"))
     )
+    candidates = long.drop("_first").unionByName(short)
+
     extra = [c for c in intervals.columns if c not in keys]
     r, c = rows.alias("r"), candidates.alias("c")
     at = F.unix_micros(F.col(f"r.{time}"))
@@ -97,17 +117,9 @@ def interval_join(
         [F.col(f"r.{k}") == F.col(f"c.{k}") for k in (*keys, "_slice")]
         + [F.col("c._from") <= at, at < F.col("c._to")]
     )
-    joined = r.join(c, match, how).select(
+    return r.join(c, match, how).select(
         *[F.col(f"r.{x}") for x in left.columns], *[F.col(f"c.{x}") for x in extra]
     )
-    if how == "inner":
-        return joined
-    # Rows without a key can match nothing; keep them out of the shuffle.
-    keyless = left.filter(~has_key)
-    types = dict(intervals.dtypes)
-    return joined.unionByName(
-        keyless.select(*left.columns, *[F.lit(None).cast(types[x]).alias(x) for x in extra])
-    )
 
 
 def activity_runs(

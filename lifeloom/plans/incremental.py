@@ -10,7 +10,7 @@ from ..functions.columns import shift_time
 from ..operators.events import ARRIVAL_ORDER, EVENT_KEY, dedup_events
 from ..policy import Policy
 from ..sources.contracts import STAGED_EVENTS, assert_schema, conform, struct
-from ..sources.tables import spread_by_date
+from ..sources.tables import grouped_by_day
 
 PARTITION = "event_date"
 
@@ -29,9 +29,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(struct(STAGED_EVENTS)).parquet(path)
 
 
-def _write(rows: DataFrame, path: str, pieces: int) -> None:
+def _write(rows: DataFrame, path: str) -> None:
     (
-        spread_by_date(rows, PARTITION, EVENT_KEY, pieces)
+        grouped_by_day(rows, PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
@@ -57,7 +57,6 @@ def upsert_events(
     batch: DataFrame,
     policy: Policy,
     on_conflict: str = "earliest",
-    pieces_per_day: int = 8,
 ) -> None:
     """Merge staged events into the day-partitioned event table at ``path``.
 
@@ -70,7 +69,7 @@ def upsert_events(
         raise ValueError(f"unknown on_conflict: {on_conflict!r}")
     assert_schema(batch, STAGED_EVENTS, "event batch")
     if not _exists(spark, path):
-        _write(dedup_events(batch), path, pieces_per_day)
+        _write(dedup_events(batch), path)
         return
 
     target = read_events(spark, path)
@@ -96,7 +95,7 @@ def upsert_events(
         merged = conform(merged, STAGED_EVENTS)
         # A day whose last event moved elsewhere has no rows to overwrite it with.
         emptied = left_days - set(_days(merged.filter(F.col(PARTITION).isin(*left_days)))) if left_days else set()
-        _write(merged, path, pieces_per_day)
+        _write(merged, path)
         for day in sorted(emptied):
             fs, folder = _folder(spark, f"{path}/{PARTITION}={day.isoformat()}")
             fs.delete(folder, True)

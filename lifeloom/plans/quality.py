@@ -293,6 +293,21 @@ ROW_RULES: dict[str, tuple[str, str]] = {
 }
 
 
+def row_rule_failures(tables: Mapping[str, DataFrame], names: Sequence[str] = tuple(ROW_RULES)) -> DataFrame:
+    """``check_name``, ``failures`` and ``status`` of row rules; each table is read once."""
+    by_table: dict[str, list[str]] = {}
+    for name in names:
+        by_table.setdefault(ROW_RULES[name][0], []).append(name)
+    parts = [
+        tables[table]
+        .agg(*[F.count_if(~F.expr(ROW_RULES[n][1])).alias(n) for n in rules])
+        .unpivot([], rules, "check_name", "failures")
+        for table, rules in by_table.items()
+    ]
+    failures = reduce(DataFrame.unionByName, parts)
+    return failures.withColumn("status", F.when(F.col("failures") > 0, "error").otherwise("pass"))
+
+
 def row_rule(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     table, rule = ROW_RULES[name]
     return violating(tables[table], rule)
@@ -364,10 +379,15 @@ def run_checks(checks: Iterable[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, [c.result() for c in checks])
 
 
+def gate(tables: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
+    """All results that decide whether a full build may be published."""
+    return row_rule_failures(tables).unionByName(run_checks(standard_checks(tables, policy)))
+
+
 def standard_checks(tables: Mapping[str, DataFrame], policy: Policy) -> list[Check]:
-    """The checks that gate a full build."""
+    """Keys, relationships, intervals, fan-out and reconciliation of a full build."""
     t = tables
-    checks = [Check(name, row_rule(t, name)) for name in ROW_RULES]
+    checks: list[Check] = []
     for table, column in PRIMARY_KEYS.items():
         checks.append(Check(f"{table}.{column} unique", unique(t[table], column), weight="n_rows"))
         checks.append(Check(f"{table}.{column} not null", not_null(t[table], [column]), weight="n_rows"))

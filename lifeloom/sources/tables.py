@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 PRODUCTION = "prod"
 
@@ -46,13 +45,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def spread_by_date(df: DataFrame, date: str, key: str, pieces: int) -> DataFrame:
-    """Shuffle rows so that every date is written by at most ``pieces`` tasks.
+def grouped_by_day(df: DataFrame, day: str) -> DataFrame:
+    """Shuffle rows by day before a write partitioned by day.
 
-    One busy date is split by a hash of ``key``, and a date never ends up as one tiny file
-    per upstream task.
+    Adaptive execution splits a busy day into pieces of the advisory size and merges quiet
+    ones, so a day is neither one huge task nor one tiny file per upstream task.
     """
-    return df.repartition(F.col(date), F.pmod(F.xxhash64(key), F.lit(pieces)))
+    return df.hint("rebalance", day)
 
 
 def shared_folder(spark: SparkSession) -> str | None:

@@ -686,9 +686,7 @@ WHERE user_id NOT IN (SELECT user_id FROM dim_users WHERE is_product_user)""",
 )
 register(
     "q24_row_rules",
-    lambda b: quality.run_checks(
-        quality.Check(n, quality.row_rule(b, n)) for n in quality.ROW_RULES
-    ),
+    quality.row_rule_failures,
     "\nUNION ALL\n".join(
         f"SELECT '{n}' AS check_name, count(*) AS failures, CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END AS status "
         f"FROM {t} WHERE NOT ({r.replace('weekday(cohort_week_start_date) = 0', 'isodow(cohort_week_start_date) = 1').replace('timestampdiff(SECOND, session_start_at, session_end_at)', 'date_sub({0}, session_start_at, session_end_at)'.format(repr('second'))).replace('0.4D', '0.4').replace('0.3D', '0.3')})"
@@ -735,7 +733,8 @@ FROM (SELECT count(*) AS c FROM {t} GROUP BY {k} HAVING count(*) > 1) AS d"""
         )
     ),
 )
-register("q_standard_checks", lambda b: quality.run_checks(quality.standard_checks(b, b.policy)), None)
+# Named checks over all tables; the parts are compared one by one above.
+register("q_gate", lambda b: quality.gate(b, b.policy), None)
 
 # --- streaming ------------------------------------------------------------------------------
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lifeloom import Policy
 from lifeloom.plans.build import Build
+from lifeloom.session import tune
 from lifeloom.sources.adapters import SOURCES
 from lifeloom.sources.tables import SharedTables, shared_folder
 
@@ -20,7 +21,7 @@ _builds: dict[tuple, Build] = {}
 
 def build_for(spark: SparkSession, sf_dir: str) -> Build:
     """The build over a data folder; its shared tables are written on first use."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tune(spark)
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _builds:
         raw = {name: make(spark, sf_dir) for name, make in SOURCES.items()}
