@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -16,13 +17,19 @@ from . import marts
 
 Recipe = Callable[["Build"], DataFrame]
 
+# What the consumers of resolved events read; the other event columns stay behind.
+RESOLVED_COLUMNS = (
+    "event_id", "anon_id", "user_id", "event_time", "event_type", "channel", "utm_source", "utm_medium",
+    "utm_campaign", "experiment_flags",
+)
+
 RECIPES: dict[str, Recipe] = {
     **{f"stg_{name}": (lambda b, n=name: STAGES[n](b.raw[n])) for name in STAGES},
     "experiments": lambda b: experiments.experiment_metadata(b.raw["experiments"]),
     "events_normalized": lambda b: dedup_events(b["stg_events"]),
     "identity_stitched": lambda b: identity.stitch_identity(b["events_normalized"], b.policy),
     "resolved_events": lambda b: identity.resolve_identity(
-        b["events_normalized"], b["identity_stitched"], b.policy
+        b["events_normalized"].select(*RESOLVED_COLUMNS), b["identity_stitched"], b.policy
     ),
     "sessions": lambda b: sessions.sessions(b["events_normalized"], b["identity_stitched"], b.policy),
     "account_memberships": lambda b: memberships.account_memberships(b["events_normalized"], b.policy),
@@ -76,6 +83,13 @@ SHARED = (
     "subscription_lifecycle", "attribution", "engagement_states", "experiment_results", "account_health",
 )
 
+# Row order inside the files of a shared table. Most readers want a few event types, and
+# can then skip the row groups of all others.
+CLUSTERED_BY = {
+    "events_normalized": ("event_type", "event_time"),
+    "resolved_events": ("event_type", "event_time"),
+}
+
 
 class Build:
     """Composes tables lazily from raw sources; ``build["dim_users"]`` is a DataFrame.
@@ -94,7 +108,7 @@ class Build:
         if name not in self._made:
             df = RECIPES[name](self)
             if self.shared is not None and name in SHARED:
-                df = self.shared.keep(name, df)
+                df = self.shared.keep(name, df, CLUSTERED_BY.get(name, ()))
             self._made[name] = df
         return self._made[name]
 
@@ -102,12 +116,21 @@ class Build:
         """The table's own plan over its inputs, even when a written copy exists."""
         return RECIPES[name](self)
 
-    def write(self, catalog: TableCatalog, names: Iterable[str] = MART_NAMES) -> dict[str, str]:
-        """Check each mart's contract and replace it in the catalog; returns the paths."""
-        paths = {}
-        for name in names:
-            df = self[name]
+    def write(
+        self, catalog: TableCatalog, names: Iterable[str] = MART_NAMES, concurrency: int = 4
+    ) -> dict[str, str]:
+        """Check each mart's contract and replace it in the catalog; returns the paths.
+
+        Contracts are checked before anything is written. ``concurrency`` tables are written
+        at a time, so that the tail of one leaves no executors idle.
+        """
+        tables = {name: self[name] for name in names}
+        for name, df in tables.items():
             if name in MARTS:
-                df = assert_schema(df, MARTS[name], name)
-            paths[name] = catalog.write(name, df, "marts" if name in MART_NAMES else "intermediate")
-        return paths
+                assert_schema(df, MARTS[name], name)
+
+        def put(name: str) -> str:
+            return catalog.write(name, tables[name], "marts" if name in MART_NAMES else "intermediate")
+
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            return dict(zip(tables, pool.map(put, tables)))

@@ -10,18 +10,13 @@ from ..functions.columns import shift_time
 from ..operators.events import ARRIVAL_ORDER, EVENT_KEY, dedup_events
 from ..policy import Policy
 from ..sources.contracts import STAGED_EVENTS, assert_schema, conform, struct
-from ..sources.tables import grouped_by_day
+from ..sources.tables import grouped_by_day, hadoop_path
 
 PARTITION = "event_date"
 
 
-def _folder(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _folder(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
@@ -97,7 +92,7 @@ def upsert_events(
         emptied = left_days - set(_days(merged.filter(F.col(PARTITION).isin(*left_days)))) if left_days else set()
         _write(merged, path)
         for day in sorted(emptied):
-            fs, folder = _folder(spark, f"{path}/{PARTITION}={day.isoformat()}")
+            fs, folder = hadoop_path(spark, f"{path}/{PARTITION}={day.isoformat()}")
             fs.delete(folder, True)
     finally:
         fresh.unpersist()

@@ -154,7 +154,7 @@ def overlaps(
     df: DataFrame, keys: Sequence[str], policy: Policy, start: str = "valid_from", end: str = "valid_to"
 ) -> DataFrame:
     """Intervals reaching into which an earlier interval of the same key extends."""
-    return overlapping_intervals(df, keys, policy.event_slice_seconds, start, end)
+    return overlapping_intervals(df, keys, policy.lookup_slice_seconds, start, end)
 
 
 def not_exactly_one(df: DataFrame, key: str, flag: str | Column) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,12 @@ class TableCatalog:
         return self.spark.read.parquet(self.path(name, schema))
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system holding ``path`` and the path itself, as JVM objects."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Full rebuild of a parquet table."""
     df.write.mode(mode).parquet(path)
@@ -78,7 +85,14 @@ class SharedTables:
         self.spark = spark
         self.folder = f"{folder}/shared-{uuid.uuid4().hex[:12]}"
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> DataFrame:
+        """Write the table, rows of each file ordered by ``cluster_by``, and read it back."""
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        rows = df.sortWithinPartitions(*cluster_by) if cluster_by else df
+        rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete all shared tables of this build."""
+        fs, folder = hadoop_path(self.spark, self.folder)
+        fs.delete(folder, True)

@@ -310,7 +310,7 @@ def test_registry_needs_no_session_and_covers_the_inventory():
     queries, oracle = entry_points.queries(), entry_points.oracle_sql()
     assert set(oracle) <= set(queries)
     idents = {q.split("_")[0] for q in queries}
-    want = [f"src{i}" for i in range(1, 9)] + ["snk1", "snk2", "snk4"] + [f"e{i}" for i in range(1, 12)]
+    want = [f"src{i}" for i in range(1, 9)] + [f"snk{i}" for i in range(1, 5)] + [f"e{i}" for i in range(1, 12)]
     want += [f"b{i}" for i in range(1, 6)] + [f"c{i}" for i in range(1, 19)] + ["k1", "k2", "br1"]
     want += [f"d{i}" for i in range(1, 7)] + [f"f{i}" for i in range(1, 12)] + [f"m{i}" for i in range(1, 29)]
     want += [f"q{i}" for i in range(1, 26)] + ["st1", "st2", "st3"]

@@ -12,7 +12,7 @@ from lifeloom.functions.keys import date_key, surrogate_key
 from lifeloom.operators import billing, engagement, experiments, funnel, growth, health, identity, memberships, sessions, timeline
 from lifeloom.operators.events import dedup_events
 from lifeloom.plans import incremental, marts, metrics, quality
-from lifeloom.plans.build import MART_NAMES, Build
+from lifeloom.plans.build import MART_NAMES, RESOLVED_COLUMNS, Build
 from lifeloom.sources import adapters, contracts, files, staging
 from lifeloom.sources.tables import TableCatalog, write_table
 from lifeloom.streaming import events as streams
@@ -159,6 +159,13 @@ register(
 UNION ALL SELECT * FROM fresh_batch""",
 )
 
+register(
+    "snk3_incremental_sink",
+    lambda b: _upsert("earliest")(b).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("_loaded_at").alias("newest")
+    ),
+    "SELECT event_date, count(*) AS n_rows, max(_loaded_at) AS newest FROM events_normalized GROUP BY 1",
+)
 register(
     "e3_identity_transitions",
     lambda b: identity.identity_transitions(b["events_normalized"], b.policy),
@@ -178,7 +185,16 @@ register(
     lambda b: identity.stitch_identity(b["events_normalized"], _overlapping(b)),
     "SELECT * FROM identity_overlapping",
 )
-register_table("e5_resolve_identity", "resolved_events")
+register(
+    "e5_resolve_identity",
+    lambda b: identity.resolve_identity(b["events_normalized"], b["identity_stitched"], b.policy),
+    "SELECT * FROM resolved_events",
+)
+register(
+    "e5_resolved_events",
+    lambda b: b.compute("resolved_events"),
+    f"SELECT {', '.join(RESOLVED_COLUMNS)}, resolved_user_id FROM resolved_events",
+)
 register(
     "e5_resolve_identity_overlapping",
     lambda b: identity.resolve_identity(
