@@ -138,7 +138,7 @@ def activity_runs(
     )
     by_key = Window.partitionBy(*keys).orderBy("_slice")
     idle = whole_units_between("SECOND", F.lag("last_at").over(by_key), "first_at")
-    opens = F.when(idle.isNull() | (idle > timeout_seconds), 1).otherwise(0)
+    opens = F.coalesce((idle > timeout_seconds).cast("int"), F.lit(1))
     return slots.withColumn("_opens", opens).withColumn(
         "session_seq",
         F.sum("_opens").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"),
