@@ -374,6 +374,21 @@ def foreign_key(
     return Check(name, orphans, warn_if=0, error_if=10, weight="n_rows")
 
 
+def primary_key_failures(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
+    """Check results for uniqueness and presence of one key per table, both in one pass."""
+    parts = []
+    for table, column in keys.items():
+        counts = tables[table].groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+        missing, n = F.col(column).isNull(), F.col("n_rows")
+        found = counts.agg(
+            F.sum(F.when(~missing & (n > 1), n).otherwise(0)).alias(f"{table}.{column} unique"),
+            F.sum(F.when(missing, n).otherwise(0)).alias(f"{table}.{column} not null"),
+        )
+        parts.append(found.unpivot([], [F.col(f"`{c}`") for c in found.columns], "check_name", "failures"))
+    failures = reduce(DataFrame.unionByName, parts).withColumn("failures", F.coalesce("failures", F.lit(0)))
+    return failures.withColumn("status", F.when(F.col("failures") > 0, "error").otherwise("pass"))
+
+
 def run_checks(checks: Iterable[Check]) -> DataFrame:
     """``check_name``, ``failures`` and ``status`` of every check, as one DataFrame."""
     return reduce(DataFrame.unionByName, [c.result() for c in checks])
@@ -381,16 +396,17 @@ def run_checks(checks: Iterable[Check]) -> DataFrame:
 
 def gate(tables: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
     """All results that decide whether a full build may be published."""
-    return row_rule_failures(tables).unionByName(run_checks(standard_checks(tables, policy)))
+    return (
+        row_rule_failures(tables)
+        .unionByName(primary_key_failures(tables, PRIMARY_KEYS))
+        .unionByName(run_checks(standard_checks(tables, policy)))
+    )
 
 
 def standard_checks(tables: Mapping[str, DataFrame], policy: Policy) -> list[Check]:
-    """Keys, relationships, intervals, fan-out and reconciliation of a full build."""
+    """Relationships, intervals, fan-out and reconciliation of a full build."""
     t = tables
     checks: list[Check] = []
-    for table, column in PRIMARY_KEYS.items():
-        checks.append(Check(f"{table}.{column} unique", unique(t[table], column), weight="n_rows"))
-        checks.append(Check(f"{table}.{column} not null", not_null(t[table], [column]), weight="n_rows"))
     for child, column, parent, parent_column in FOREIGN_KEYS:
         checks.append(foreign_key(f"{child}.{column} -> {parent}", t[child], column, t[parent], parent_column))
     checks += [

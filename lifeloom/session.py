@@ -13,6 +13,8 @@ SETTINGS = {
     # Splits skewed joins and skewed days on write, merges small shuffle partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming sessions of a busy device are merged per task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

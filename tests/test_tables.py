@@ -275,6 +275,15 @@ def test_column_checks(frame):
     assert quality.uncovered(df, parent, "id").count() == 1
 
 
+def test_primary_keys_in_one_pass(frame):
+    t = {"a": frame("k bigint", (1,), (1,), (2,), (None,)), "b": frame("k bigint", (1,)), "c": frame("k bigint")}
+    got = quality.primary_key_failures(t, {"a": "k", "b": "k", "c": "k"})
+    assert rows(got, "check_name", "failures", "status") == [
+        ("a.k not null", 1, "error"), ("a.k unique", 2, "error"), ("b.k not null", 0, "pass"), ("b.k unique", 0, "pass"),
+        ("c.k not null", 0, "pass"), ("c.k unique", 0, "pass"),
+    ]
+
+
 def test_table_checks(spark, frame, policy):
     a, b = spark.range(3), spark.range(5)
     assert rows(quality.row_count_difference(a, b), "mart_count", "source_count", "row_delta") == [(3, 5, -2)]

@@ -246,26 +246,24 @@ register_table("b3_invoices_prep", "invoices_prep", ("amount", "refund_amount",
 register_table("b4_checkout_conversion", "checkout_conversion")
 
 
-def _mutual_best_touch(b: Build) -> DataFrame:
-    """Tickets and invoices of an account issued the same day, matched one to one."""
-    tickets = b["ticket_metrics"].select("ticket_id", "account_id", "created_at", F.to_date("created_at").alias("day"))
-    invoices = b["invoices_prep"].select("invoice_id", "account_id", "issued_at", F.to_date("issued_at").alias("day"))
-    pairs = tickets.join(invoices, ["account_id", "day"])
+def _mutual_best_exposures(b: Build) -> DataFrame:
+    """Users and experiments that are each other's earliest and latest exposure."""
+    pairs = b["fct_experiment_exposures"].groupBy("user_id", "experiment_id").agg(
+        F.min("first_exposure_at").alias("exposed_at")
+    )
     return timeline.mutual_best(
-        pairs, "ticket_id", ["issued_at", "invoice_id"], "invoice_id", [F.desc("created_at"), F.desc("ticket_id")]
+        pairs, "user_id", ["exposed_at", "experiment_id"], "experiment_id", [F.desc("exposed_at"), F.desc("user_id")]
     )
 
 
 register(
     "b5_mutual_best",
-    _mutual_best_touch,
+    _mutual_best_exposures,
     """
-SELECT * FROM (
- SELECT t.account_id, CAST(t.created_at AS DATE) AS day, t.ticket_id, t.created_at, i.invoice_id, i.issued_at
- FROM ticket_metrics AS t JOIN invoices_prep AS i
-  ON t.account_id = i.account_id AND CAST(t.created_at AS DATE) = CAST(i.issued_at AS DATE)) AS p
-QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY issued_at, invoice_id) = 1
- AND row_number() OVER (PARTITION BY invoice_id ORDER BY created_at DESC, ticket_id DESC) = 1""",
+SELECT * FROM (SELECT user_id, experiment_id, min(first_exposure_at) AS exposed_at
+               FROM fct_experiment_exposures GROUP BY 1, 2) AS p
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY exposed_at, experiment_id) = 1
+ AND row_number() OVER (PARTITION BY experiment_id ORDER BY exposed_at DESC, user_id DESC) = 1""",
 )
 
 # --- growth, engagement, experiments, health ------------------------------------------------
