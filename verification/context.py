@@ -19,6 +19,12 @@ POLICY = Policy(as_of=datetime(2024, 2, 15))
 _builds: dict[tuple, Build] = {}
 
 
+def lazy_build(spark: SparkSession, sf_dir: str) -> Build:
+    """The build over a data folder as one lazy plan; writes nothing."""
+    tune(spark)
+    return Build({name: make(spark, sf_dir) for name, make in SOURCES.items()}, POLICY)
+
+
 def build_for(spark: SparkSession, sf_dir: str) -> Build:
     """The build over a data folder; its shared tables are written on first use."""
     tune(spark)
