@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifeloom.llm.packing import pack
+from lifeloom.llm.quality import quality
 from lifeloom.llm.sharding import hilbert_shards
 from lifeloom.llm.tables import read
 
 
+def op3_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select(
+        F.col("doc_id").cast("long"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "score",
+    )
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shards(read(spark, sf_dir, "documents"))
     return placed.select(
@@ -25,6 +34,7 @@ def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_ratio": op3_quality_ratio,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op8_pack_windows": op8_pack_windows,
 }
