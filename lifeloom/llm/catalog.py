@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.llm.near import near_duplicates
 from lifeloom.llm.packing import pack
 from lifeloom.llm.quality import quality
 from lifeloom.llm.sharding import hilbert_shards
@@ -29,6 +30,10 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_ratio": op3_quality_ratio,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op6_minhash_hamming": op6_minhash_hamming,
     "op8_pack_windows": op8_pack_windows,
 }
 ORACLE: dict[str, str] = {}

@@ -26,7 +26,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def constants(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit values for a seed."""
     steps = np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15)
-    return mixed(steps + U(seed) * U(0xD1342543DE82EF95)) | U(1)
+    return mixed(steps + U(seed * 0xD1342543DE82EF95 % 2**64)) | U(1)
 
 
 _SPACES = np.zeros(256, bool)
