@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lifeloom.llm.near import near_duplicates
 from lifeloom.llm.packing import pack
 from lifeloom.llm.quality import quality
+from lifeloom.llm.repeats import remove_repeats
 from lifeloom.llm.sharding import hilbert_shards
 from lifeloom.llm.tables import read
 
@@ -38,10 +39,15 @@ def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_ratio": op3_quality_ratio,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_minhash_hamming": op6_minhash_hamming,
     "op8_pack_windows": op8_pack_windows,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
 ORACLE: dict[str, str] = {}
