@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.near import near_duplicates
 from lifeloom.llm.packing import pack
 from lifeloom.llm.quality import quality
@@ -15,6 +16,10 @@ from lifeloom.llm.sharding import hilbert_shards
 from lifeloom.llm.tables import read
 
 
+def op1_line_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "text")
+
+
 def op3_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select(
@@ -44,6 +49,7 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_neighbours": op1_line_neighbours,
     "op3_quality_ratio": op3_quality_ratio,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_minhash_hamming": op6_minhash_hamming,
