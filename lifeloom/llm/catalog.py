@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.near import near_duplicates
 from lifeloom.llm.packing import pack
@@ -44,6 +45,10 @@ def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op9_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_minhash_hamming": op6_minhash_hamming,
     "op8_pack_windows": op8_pack_windows,
+    "op9_bm25_leaks": op9_bm25_leaks,
     "op10_suffix_repeats": op10_suffix_repeats,
 }
 ORACLE: dict[str, str] = {}

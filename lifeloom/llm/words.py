@@ -35,9 +35,10 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 
 
-def byte_values(seed: int, lower: bool) -> np.ndarray:
+def byte_values(seed: int, lower: bool, silent: bytes) -> np.ndarray:
     values = constants(256, seed)
     values = values[_LOWER] if lower else values
+    values[list(silent)] = 0
     return np.where(_SPACES, U(0), values)
 
 
@@ -73,14 +74,19 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return have
 
 
-def word_hashes(texts: pa.Array, seed: int = 1, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and for each text (one more at the end) its first word's index."""
+def word_hashes(
+    texts: pa.Array, seed: int = 1, lower: bool = True, silent: bytes = b""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and for each text (one more at the end) its first word's index.
+
+    Bytes in ``silent`` make no difference at the end of a word.
+    """
     data, offsets = bytes_of(texts)
     starts = word_starts(data, offsets)
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.zeros(0, U), first
-    values, base = byte_values(seed, lower), int(constants(1, seed + 7)[0])
+    values, base = byte_values(seed, lower, silent), int(constants(1, seed + 7)[0])
     out = np.empty(len(starts), U)
     at = 0
     while at < len(starts):
