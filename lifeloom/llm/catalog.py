@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.llm.lattice import lattice_scores
 from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.near import near_duplicates
@@ -29,6 +30,10 @@ def op3_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(read(spark, sf_dir, "documents"))
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shards(read(spark, sf_dir, "documents"))
     return placed.select(
@@ -56,6 +61,7 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_neighbours": op1_line_neighbours,
     "op3_quality_ratio": op3_quality_ratio,
+    "op4_lattice_likelihood": op4_lattice_likelihood,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_minhash_hamming": op6_minhash_hamming,
     "op8_pack_windows": op8_pack_windows,
