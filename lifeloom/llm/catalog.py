@@ -12,6 +12,7 @@ from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.near import near_duplicates
 from lifeloom.llm.packing import pack
+from lifeloom.llm.pii import pseudonymise
 from lifeloom.llm.quality import quality
 from lifeloom.llm.repeats import remove_repeats
 from lifeloom.llm.sharding import hilbert_shards
@@ -46,6 +47,10 @@ def op6_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(read(spark, sf_dir, "documents")).select("doc_id", "n_replaced", "text")
+
+
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lattice_likelihood": op4_lattice_likelihood,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_minhash_hamming": op6_minhash_hamming,
+    "op7_surrogates": op7_surrogates,
     "op8_pack_windows": op8_pack_windows,
     "op9_bm25_leaks": op9_bm25_leaks,
     "op10_suffix_repeats": op10_suffix_repeats,
