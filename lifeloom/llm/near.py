@@ -15,7 +15,7 @@ Equal sets are one class, and only one representative of a class goes on. Then
    documents of different components, in blocks of ``BLOCK`` by ``BLOCK`` rows so that a key of
    any size is spread over many tasks; keys of more than ``FINE`` documents are first refined by
    a second index key of another chunk, of which a pair within the distance shares one,
-3. pairs that also agree in a second sketch (256 bins, far above chance) are confirmed on the
+3. pairs that also agree in a second sketch (512 bins, by the law of their sampling) are confirmed on the
    full sets, in exact integers.
 
 Hence no true link between two components is lost, and groups of thousands of near copies cost
@@ -47,9 +47,8 @@ BITS = 16
 CHUNKS, PER_CHUNK = 10, 3
 SYMBOLS = CHUNKS * PER_CHUNK
 DISTANCE = 2 * CHUNKS - 1
-BINS = 256
-FINE = 1000
-BLOCK = 500
+BINS = 512
+FINE = BLOCK = 4000
 
 SKETCH = "doc_id long, n_shingles long, high long, low long, keys array<long>, bins binary"
 
@@ -87,8 +86,8 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def binned(shingles: np.ndarray) -> bytes:
-    """For each of 256 ranges of hashes, eight bits of its smallest member; 0 for none."""
-    bins = (shingles >> U(56)).astype(np.int64)
+    """For each of 512 ranges of hashes, eight bits of its smallest member; 0 for none."""
+    bins = (shingles >> U(55)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     out = np.zeros(BINS, np.uint8)
     out[bins[first]] = (mixed(shingles[first]) % U(255)).astype(np.uint8) + 1
@@ -127,15 +126,19 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
-def promising(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def promising(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Pairs whose bins agree about as often as those of sets of similarity 0.75, or more often.
 
-    The margin is five standard deviations, so of a million true pairs less than one is lost.
+    Used bins are a sample, without repetition, of the union, so what agrees of them follows a
+    hypergeometric law: exact where every shingle has a bin of its own. The margin is 4.5
+    standard deviations, so of a million true pairs a few are lost at most.
     """
     used = ((a != 0) | (b != 0)).sum(axis=-1)
     same = ((a == b) & (a != 0)).sum(axis=-1)
-    expected = used * (PERCENT / 100)
-    return same >= expected - 5 * np.sqrt(expected * (1 - PERCENT / 100)) - 1
+    share = PERCENT / 100
+    union = (size_a + size_b) / (1 + share)  # of a pair at the threshold; above it, less
+    spread = used * share * (1 - share) * np.maximum(union - used, 0) / np.maximum(union - 1, 1)
+    return (used <= union) & (same >= used * share - 4.5 * np.sqrt(spread) - 1)
 
 
 def matrix(bins: pd.Series | list[bytes]) -> np.ndarray:
@@ -146,22 +149,23 @@ def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidate pairs (a, b) whose sketches promise a link."""
     for pdf in batches:
         if len(pdf):
-            good = promising(matrix(pdf["bins_a"]), matrix(pdf["bins_b"]))
+            sizes = (pdf[f"size_{x}"].to_numpy() for x in "ab")
+            good = promising(matrix(pdf["bins_a"]), matrix(pdf["bins_b"]), *sizes)
             yield pdf.loc[good, ["a", "b"]]
 
 
 def across(left: tuple, right: tuple, ordered: bool) -> tuple[list[int], list[int]]:
-    """Promising pairs between two blocks of (node, component, bins), of different components."""
+    """Promising pairs between two blocks of (node, component, size, bins), of different components."""
     out_a: list[int] = []
     out_b: list[int] = []
-    nodes, components, bins = right
-    for node, component, row in zip(*left, strict=True):
+    nodes, components, sizes, bins = right
+    for node, component, size, row in zip(*left, strict=True):
         other = components != component
         if ordered:
             other &= nodes > node
         at = np.flatnonzero(other)
         if len(at):
-            at = at[promising(row[None, :], bins[at])]
+            at = at[promising(row[None, :], bins[at], size, sizes[at])]
             out_a += [int(node)] * len(at)
             out_b += nodes[at].tolist()
     return out_a, out_b
@@ -169,7 +173,7 @@ def across(left: tuple, right: tuple, ordered: bool) -> tuple[list[int], list[in
 
 def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each (key, i, j); rows come sorted by these, two blocks at most to a group."""
-    names = ["key", "i", "j", "own", "node", "component"]
+    names = ["key", "i", "j", "own", "node", "component", "size"]
     rest: list[np.ndarray] | None = None
 
     def groups(cols: list[np.ndarray], ends: np.ndarray) -> pa.RecordBatch:
@@ -177,8 +181,7 @@ def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         b: list[int] = []
         at = 0
         for end in ends.tolist():
-            key, i, j, own, node, component, bins = (c[at:end] for c in cols)
-            rows = (node, component, bins)
+            _, i, j, own, *rows = (c[at:end] for c in cols)
             if i[0] == j[0]:
                 pairs = across(rows, rows, True)
             else:
@@ -187,7 +190,8 @@ def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             a += pairs[0]
             b += pairs[1]
             at = end
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        pairs = np.unique(np.sort(np.array([a, b], np.int64), axis=0), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[1]), pa.array(pairs[0])], ["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -253,8 +257,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     full = sketch.filter("n_shingles > 0")
     # one node per distinct set; its number is its smallest doc_id, or a hash if all are null
     nodes = full.groupBy("high", "low").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys"), F.any_value("bins").alias("bins")
-    )
+        F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("size"),
+        F.any_value("keys").alias("keys"), F.any_value("bins").alias("bins"),
+    )
     nodes = nodes.withColumn("node", F.coalesce("doc_id", F.bitwise_not(F.abs(F.xxhash64("high", "low")))))
     # several sets may share a smallest doc_id where doc_id repeats: these have numbers of their own
     shared = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
@@ -267,11 +272,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     member = keep(keyed.join(stars, "key").select("key", "place", "node", "centre", "n"), "members")
 
-    small = nodes.select("node", "bins")
+    small = nodes.select("node", "size", "bins")
     candidates = member.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     candidates = (
-        candidates.join(small.select(F.col("node").alias("a"), F.col("bins").alias("bins_a")), "a")
-        .join(small.select(F.col("node").alias("b"), F.col("bins").alias("bins_b")), "b")
+        candidates.join(small.toDF("a", "size_a", "bins_a"), "a")
+        .join(small.toDF("b", "size_b", "bins_b"), "b")
         .mapInPandas(compare, "a long, b long")
     )
     linked = keep(confirmed(keep(candidates, "pairs"), rows, nodes), "links")
@@ -337,4 +342,4 @@ def pairs_across(left: DataFrame, bins: DataFrame) -> DataFrame:
     dealt = groups.select("key", "node", "component", "own", F.inline(partners)).join(bins, "node")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     pairs = dealt.mapInArrow(within_blocks, "a long, b long")
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return pairs.distinct()
