@@ -31,5 +31,18 @@ def scalar_field(parsed: str, text: str, key: str) -> Column:
 
 
 def parse_flags(text: str) -> Column:
-    """``[{"experiment_id": …, "variant": …}, …]`` as an array of structs."""
-    return F.from_json(F.col(text), FLAGS_TYPE)
+    """``[{"experiment_id": …, "variant": …}, …]`` as an array of structs.
+
+    Elements are read one by one: what is not an object has NULL fields and leaves the others
+    as they are, and so has a field that is an object or array.
+    """
+    elements = F.from_json(F.col(text), T.ArrayType(T.StringType()))
+
+    def field(element: Column, key: str) -> Column:
+        value = F.from_json(element, FLAGS_TYPE.elementType)[key]
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(element), f"$.{key}", "variant"))
+        plain = value.isNull() | ~F.substring(value, 1, 1).isin("{", "[")
+        return F.when(plain, value).when(kind == "STRING", value)
+
+    names = FLAGS_TYPE.elementType.names
+    return F.transform(elements, lambda e: F.struct(*(field(e, k).alias(k) for k in names)))

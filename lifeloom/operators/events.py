@@ -16,8 +16,13 @@ ARRIVAL_ORDER = ("_loaded_at", "ingest_time")
 def dedup_events(
     events: DataFrame, key: str = EVENT_KEY, order: Sequence[str] = ARRIVAL_ORDER
 ) -> DataFrame:
-    """Keep the earliest-loaded copy of every event."""
-    return first_per_key(events, [key], [F.col(c).asc() for c in order])
+    """Keep the earliest-loaded copy of every event.
+
+    Copies with equal times are told apart by a hash of their columns, so the choice never
+    depends on how rows are spread.
+    """
+    ties = F.xxhash64(*(F.col(f"`{c}`") for c in sorted(events.columns)))
+    return first_per_key(events, [key], [*(F.col(c).asc() for c in order), ties.asc()])
 
 
 def first_event_time(events: DataFrame, event_type: str, user: str, name: str) -> DataFrame:

@@ -152,8 +152,11 @@ def sessionize(rows: DataFrame, keys: Sequence[str], time: str, timeout_seconds:
     """
     runs = activity_runs(rows.select(*keys, time), keys, time, timeout_seconds)
     slots = runs.select(*keys, "_slice", "session_seq")
-    sliced = rows.withColumn("_slice", slice_start(time, timeout_seconds))
-    return sliced.join(slots, [*keys, "_slice"]).select(*rows.columns, "session_seq")
+    r = rows.withColumn("_slice", slice_start(time, timeout_seconds)).alias("r")
+    s = slots.alias("s")
+    # rows with a NULL key are a key of their own, as in the runs
+    same = all_of([F.col(f"r.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in (*keys, "_slice")])
+    return r.join(s, same).select(*(F.col(f"r.`{c}`") for c in rows.columns), "s.session_seq")
 
 
 def mutual_best(

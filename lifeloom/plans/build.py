@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ..operators import billing, engagement, experiments, funnel, growth, health, identity, memberships, sessions
 from ..operators.events import dedup_events
 from ..policy import Policy
-from ..sources.contracts import MARTS, assert_schema
+from ..sources.contracts import MARTS, STAGED_EVENTS, assert_schema
 from ..sources.staging import STAGES
 from ..sources.tables import SharedTables, TableCatalog
 from . import marts
@@ -95,14 +95,22 @@ class Build:
     """Composes tables lazily from raw sources; ``build["dim_users"]`` is a DataFrame.
 
     Without ``shared`` everything stays one lazy plan. With it, the tables in ``SHARED`` are
-    written on first use and read back by their consumers.
+    written on first use and read back by their consumers. ``events`` is the event table kept
+    by ``upsert_events``; with it, the raw event log is not read again.
     """
 
     def __init__(
-        self, raw: Mapping[str, DataFrame], policy: Policy, shared: SharedTables | None = None
+        self,
+        raw: Mapping[str, DataFrame],
+        policy: Policy,
+        shared: SharedTables | None = None,
+        events: DataFrame | None = None,
     ) -> None:
         self.raw, self.policy, self.shared = raw, policy, shared
         self._made: dict[str, DataFrame] = {}
+        if events is not None:
+            assert_schema(events, STAGED_EVENTS, "events")
+            self._made["events_normalized"] = events
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:

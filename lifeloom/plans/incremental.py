@@ -1,49 +1,97 @@
-"""Incremental upkeep of the de-duplicated event table."""
+"""Incremental upkeep of the de-duplicated event table.
+
+The table is a folder of loads and a folder of manifests. A load holds the days it has written,
+a manifest names the folder of every day, and the manifest with the highest number is the table.
+A load writes new folders only and ends with a new manifest, so readers see all of it or none,
+and a load that dies on the way leaves the table as it was.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import shift_time
 from ..operators.events import ARRIVAL_ORDER, EVENT_KEY, dedup_events
 from ..policy import Policy
 from ..sources.contracts import STAGED_EVENTS, assert_schema, conform, struct
 from ..sources.tables import grouped_by_day, hadoop_path
 
 PARTITION = "event_date"
+#: Folders are named by a copy of the event's day, so that the day stays a column of the files.
+_DAY = "_day"
+
+
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    fs, folder = hadoop_path(spark, f"{path}/manifests")
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("_"))
+
+
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """Number, newest load time in microseconds, and folder by day of the table as it is now."""
+    numbers = _manifests(spark, path)
+    if not numbers:
+        return {"number": 0, "newest": None, "days": {}}
+    fs, file = hadoop_path(spark, f"{path}/manifests/{numbers[-1]}.json")
+    stream = fs.open(file)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
+    fs, draft = hadoop_path(spark, f"{path}/manifests/_{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    _, final = hadoop_path(spark, f"{path}/manifests/{manifest['number']}.json")
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"another load has replaced {path} meanwhile")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = hadoop_path(spark, path)
-    return fs.exists(p)
+def _folders(spark: SparkSession, path: str, load: str) -> dict[str, str]:
+    """Folder by day of what a load has written."""
+    fs, folder = hadoop_path(spark, f"{path}/{load}")
+    names = [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()]
+    return {n.partition("=")[2]: f"{load}/{n}" for n in names if n.startswith(f"{_DAY}=")}
+
+
+def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    schema = struct(STAGED_EVENTS)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return files.parquet(*(f"{path}/{f}" for f in sorted(folders)))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(struct(STAGED_EVENTS)).parquet(path)
+    """The event table as of its last finished load."""
+    return _read(spark, path, list(_manifest(spark, path)["days"].values()))
 
 
 def _write(rows: DataFrame, path: str) -> None:
-    (
-        grouped_by_day(rows, PARTITION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+    grouped_by_day(rows.withColumn(_DAY, F.col(PARTITION)), _DAY).write.partitionBy(_DAY).parquet(path)
 
 
-def _days(rows: DataFrame) -> list:
-    """Distinct event days, at most one per calendar day."""
-    return [r[0] for r in rows.select(PARTITION).distinct().collect()]
+def _day_name(day: object) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
 
 
-def fresh_rows(target: DataFrame, batch: DataFrame, policy: Policy) -> DataFrame:
-    """De-duplicated batch rows loaded since the target's newest load minus the lookback."""
-    newest = target.agg(F.max("_loaded_at").alias("newest")).scalar()
-    since = shift_time(newest, "HOUR", -policy.events_incremental_lookback_hours)
-    return dedup_events(batch.filter(F.col("_loaded_at") >= since))
+def fresh_rows(batch: DataFrame, newest: int | None, lookback_hours: int | None) -> DataFrame:
+    """De-duplicated batch rows loaded since ``newest`` (microseconds) minus the lookback.
+
+    Without a newest load or without a lookback, all rows of the batch.
+    """
+    if newest is not None and lookback_hours is not None:
+        since = newest - lookback_hours * 3_600_000_000
+        batch = batch.filter(F.unix_micros("_loaded_at") >= since)
+    return dedup_events(batch)
 
 
 def upsert_events(
@@ -52,47 +100,59 @@ def upsert_events(
     batch: DataFrame,
     policy: Policy,
     on_conflict: str = "earliest",
+    lookback: bool = True,
 ) -> None:
-    """Merge staged events into the day-partitioned event table at ``path``.
+    """Merge staged events into the event table at ``path``.
 
-    Only the days that a fresh row enters or leaves are rewritten. For an event that is
-    already stored, ``earliest`` keeps the copy loaded first, so repeated runs converge to a
-    full rebuild; ``replace`` lets the new copy win. The table's columns may not change.
-    Days are replaced one by one, so a reader may see some before others.
+    Only the days that a fresh row enters or leaves are rewritten; rows without a day are a day
+    of their own. For an event that is already stored, ``earliest`` keeps the copy loaded first,
+    so repeated runs converge to a full rebuild; ``replace`` lets the new copy win. With
+    ``lookback``, batch rows loaded before the policy's lookback are left out; pass False where
+    every row arrives once, as in a stream. The table's columns may not change.
     """
     if on_conflict not in ("earliest", "replace"):
         raise ValueError(f"unknown on_conflict: {on_conflict!r}")
     assert_schema(batch, STAGED_EVENTS, "event batch")
-    if not _exists(spark, path):
-        _write(dedup_events(batch), path)
-        return
+    now = _manifest(spark, path)
+    load = f"loads/{now['number'] + 1}-{uuid.uuid4().hex[:12]}"
+    hours = policy.events_incremental_lookback_hours if lookback else None
+    fresh_rows(batch, now["newest"], hours).write.parquet(f"{path}/{load}/fresh")
+    fresh = spark.read.schema(struct(STAGED_EVENTS)).parquet(f"{path}/{load}/fresh")
+    newest = fresh.agg(F.max(F.unix_micros("_loaded_at"))).first()[0]
+
+    target = _read(spark, path, list(now["days"].values()))
+    was = target.select(EVENT_KEY, PARTITION).join(fresh.select(EVENT_KEY), EVENT_KEY, "left_semi")
+    touched = was.select(PARTITION).union(fresh.select(PARTITION)).distinct().collect()  # calendar days
+    days = {_day_name(r[0]) for r in touched}
+    stored = _read(spark, path, [f for d, f in now["days"].items() if d in days])
+    if on_conflict == "replace":
+        merged = stored.join(fresh.select(EVENT_KEY), EVENT_KEY, "left_anti").unionByName(fresh)
+    else:
+        both = stored.withColumn("_new", F.lit(1)).unionByName(fresh.withColumn("_new", F.lit(2)))
+        merged = dedup_events(both, EVENT_KEY, [*ARRIVAL_ORDER, "_new"]).drop("_new")
+    _write(conform(merged, STAGED_EVENTS), f"{path}/{load}/days")
+
+    kept = {d: f for d, f in now["days"].items() if d not in days}
+    times = [t for t in (now["newest"], newest) if t is not None]
+    _commit(
+        spark,
+        path,
+        {
+            "number": now["number"] + 1,
+            "newest": max(times, default=None),
+            "days": kept | _folders(spark, path, f"{load}/days"),
+        },
+    )
 
-    target = read_events(spark, path)
-    fresh = fresh_rows(target, batch, policy).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        touched = (
-            target.select(EVENT_KEY, F.col(PARTITION).alias("_was"))
-            .join(fresh.select(EVENT_KEY, PARTITION), EVENT_KEY)
-            .select("_was", PARTITION)
-            .distinct()
-            .collect()  # pairs of calendar days
-        )
-        left_days = {r["_was"] for r in touched if r["_was"] != r[PARTITION]}
-        days = set(_days(fresh)) | {r["_was"] for r in touched}
-        if not days:
-            return
-        stored = target.filter(F.col(PARTITION).isin(*days))
-        if on_conflict == "replace":
-            merged = stored.join(fresh.select(EVENT_KEY), EVENT_KEY, "left_anti").unionByName(fresh)
-        else:
-            both = stored.withColumn("_new", F.lit(1)).unionByName(fresh.withColumn("_new", F.lit(2)))
-            merged = dedup_events(both, EVENT_KEY, [*ARRIVAL_ORDER, "_new"]).drop("_new")
-        merged = conform(merged, STAGED_EVENTS)
-        # A day whose last event moved elsewhere has no rows to overwrite it with.
-        emptied = left_days - set(_days(merged.filter(F.col(PARTITION).isin(*left_days)))) if left_days else set()
-        _write(merged, path)
-        for day in sorted(emptied):
-            fs, folder = hadoop_path(spark, f"{path}/{PARTITION}={day.isoformat()}")
-            fs.delete(folder, True)
-    finally:
-        fresh.unpersist()
+
+def vacuum(spark: SparkSession, path: str) -> None:
+    """Delete what the table no longer uses; not while a load or a long read is running."""
+    used = set(_manifest(spark, path)["days"].values())
+    fs, loads = hadoop_path(spark, f"{path}/loads")
+    for load in [f.getPath().getName() for f in fs.listStatus(loads)] if fs.exists(loads) else []:
+        own = set(_folders(spark, path, f"loads/{load}/days").values()) if fs.exists(
+            hadoop_path(spark, f"{path}/loads/{load}/days")[1]
+        ) else set()
+        gone = [*(own - used), f"loads/{load}/fresh"] if own & used else [f"loads/{load}"]
+        for folder in gone:
+            fs.delete(hadoop_path(spark, f"{path}/{folder}")[1], True)

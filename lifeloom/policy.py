@@ -53,6 +53,8 @@ class Policy:
     def as_of_time(self) -> Column:
         # A string cast follows the session time zone; a Python datetime would be
         # shifted by the time zone of the client machine.
+        if self.as_of.tzinfo is not None:
+            return F.lit(self.as_of.isoformat()).cast("timestamp")
         return F.lit(self.as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
     def as_of_date(self) -> Column:

@@ -13,9 +13,19 @@ from .contracts import EXPERIMENT_METADATA, struct
 
 
 def read_seed(spark: SparkSession, path: str, ddl: str = EXPERIMENT_METADATA) -> DataFrame:
-    """A headed CSV file with declared column types; blanks are NULL, line ends may be CRLF."""
+    """A headed CSV file with declared column types; blanks are NULL, line ends may be CRLF.
+
+    Reading fails where the header names other columns or another order, and on values that
+    are not of their column's type. Times may have fractions of a second.
+    """
     return spark.read.csv(
-        path, schema=struct(ddl), header=True, timestampFormat="yyyy-MM-dd HH:mm:ss", dateFormat="yyyy-MM-dd"
+        path,
+        schema=struct(ddl),
+        header=True,
+        enforceSchema=False,
+        mode="FAILFAST",
+        timestampFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
+        dateFormat="yyyy-MM-dd",
     )
 
 

@@ -31,11 +31,12 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Keep the event table at ``path`` up to date from a stream of staged events.
 
-    With ``earliest`` a batch that is run again after a failure changes nothing.
+    With ``earliest`` a batch that is run again after a failure changes nothing. Every row of
+    a stream arrives once, so no batch is cut by a lookback, however files fall into batches.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_events(batch.sparkSession, path, batch, policy, on_conflict)
+        upsert_events(batch.sparkSession, path, batch, policy, on_conflict, lookback=False)
 
     return drain(staged, checkpoint, merge)
 
@@ -52,12 +53,15 @@ def dedup_stream(staged: DataFrame, policy: Policy) -> DataFrame:
 def session_stream(events: DataFrame, policy: Policy) -> DataFrame:
     """Device sessions, emitted once no earlier event can extend them any more.
 
+    A replayed event counts once, as in the batch rule.
+
     The gap is one microsecond short of the next whole second: like the batch rule, a pause
     ends a session only when more than the timeout has passed in whole seconds.
     """
     gap = f"{policy.session_timeout_seconds} seconds 999999 microseconds"
     visits = (
         events.withWatermark("event_time", f"{policy.events_incremental_lookback_hours} hours")
+        .dropDuplicatesWithinWatermark(["event_id"])
         .groupBy("anon_id", F.session_window("event_time", gap))
         .agg(
             F.min("event_time").alias("session_start_at"),

@@ -186,3 +186,31 @@ def test_a_single_busy_device_is_spread_over_slices(spark, policy):
         select anon_id, user_id, event_time from (select *, lag(user_id) over (partition by anon_id order by event_time, user_id) p
         from busy_events) where p is null or p <> user_id""")
     assert rows(got, "anon_id", "user_id", "transition_time") == rows(want, "anon_id", "user_id", "event_time")
+
+
+def test_flags_are_read_element_by_element(spark):
+    from lifeloom.functions.json import parse_flags
+
+    good = '{"experiment_id":"e","variant":"v"}'
+    texts = [f'["z",{good}]', f"[{good},7]", '[{"experiment_id":{"a":1},"variant":"{x"}]', "no json", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_flags("t").alias("f"))
+    got = [None if r.f is None else [tuple(x) for x in r.f] for r in df.collect()]
+    assert got[0] == [(None, None), ("e", "v")] and got[1] == [("e", "v"), (None, None)]
+    assert got[2] == [(None, "{x")] and got[4] is None
+
+
+def test_sessionize_keeps_rows_without_a_key(spark):
+    from lifeloom.operators.timeline import sessionize
+
+    df = spark.createDataFrame([(None, "2024-01-01 00:00:00"), ("k", "2024-01-01 00:00:00")], "k string, t string")
+    got = sessionize(df.withColumn("t", F.to_timestamp("t")), ["k"], "t", 1800).collect()
+    assert sorted((r.k or "", r.session_seq) for r in got) == [("", 1), ("k", 1)]
+
+
+def test_as_of_with_a_time_zone(spark):
+    from datetime import datetime, timedelta, timezone
+
+    from lifeloom import Policy
+
+    at = datetime(2024, 2, 15, 1, tzinfo=timezone(timedelta(hours=3)))
+    assert spark.range(1).select(F.date_format(Policy(as_of=at).as_of_time(), "yyyy-MM-dd HH")).first()[0] == "2024-02-14 22"

@@ -12,6 +12,7 @@ from conftest import rows
 from lifeloom.functions.keys import date_key, surrogate_key
 from lifeloom.operators.events import dedup_events
 from lifeloom.plans import incremental, metrics, quality
+from lifeloom.plans.build import Build
 from lifeloom.sources import contracts, files, staging
 from lifeloom.sources.tables import TableCatalog, shared_folder
 from lifeloom.streaming import events as streams
@@ -116,7 +117,8 @@ def test_lookback_limits_the_batch(spark, make_events, policy, tmp_path):
         {"event_id": f"x{i}", "_loaded_at": t}
         for i, t in enumerate(["2024-06-20 12:00:00", "2024-06-19 12:00:00", "2024-06-18 12:00:00", "2024-06-16 08:00:00"])
     ])
-    got = incremental.fresh_rows(incremental.read_events(spark, path), batch, policy)
+    newest = incremental.read_events(spark, path).agg(F.max(F.unix_micros("_loaded_at"))).first()[0]
+    got = incremental.fresh_rows(batch, newest, policy.events_incremental_lookback_hours)
     assert rows(got, "event_id") == [("x0",), ("x1",)]
 
 
@@ -137,18 +139,53 @@ def test_event_that_moves_to_another_day(spark, make_events, policy, tmp_path):
     moved = make_events({"event_id": "a", "event_time": "2024-01-11 10:00:00", "_loaded_at": "2024-01-13 00:00:00"})
     got = _load(spark, path, moved, policy, "replace")
     assert rows(got, "event_id", "event_date") == [("a", "2024-01-11"), ("b", "2024-01-12")]
-    assert not glob.glob(f"{path}/event_date=2024-01-10")
+    incremental.vacuum(spark, path)
+    assert not glob.glob(f"{path}/loads/*/days/_day=2024-01-10")
+    assert incremental.read_events(spark, path).count() == 2
 
 
 def test_untouched_days_are_not_rewritten(spark, make_events, policy, tmp_path):
     path = str(tmp_path / "events")
     _load(spark, path, make_events({"event_id": "a", "event_time": "2024-01-01 00:00:00"}, {"event_id": "b"}), policy)
-    before = glob.glob(f"{path}/event_date=2024-01-01/*.parquet")
+    before = glob.glob(f"{path}/loads/*/days/_day=2024-01-01/*.parquet")
     _load(spark, path, make_events({"event_id": "c"}), policy)
-    assert glob.glob(f"{path}/event_date=2024-01-01/*.parquet") == before
+    assert before and glob.glob(f"{path}/loads/*/days/_day=2024-01-01/*.parquet") == before
     assert incremental.read_events(spark, path).count() == 3
 
 
+def test_empty_first_batch_does_not_block_later_ones(spark, make_events, policy, tmp_path):
+    path = str(tmp_path / "events")
+    assert _load(spark, path, make_events({}).limit(0), policy).count() == 0
+    assert _load(spark, path, make_events({"event_id": "a"}, {"event_id": "b"}), policy).count() == 2
+
+
+def test_rows_without_a_day_stay(spark, make_events, policy, tmp_path):
+    path = str(tmp_path / "events")
+    undated = lambda i: make_events({"event_id": i}).withColumn("event_date", F.lit(None).cast("date"))
+    _load(spark, path, undated("a"), policy)
+    assert rows(_load(spark, path, undated("b"), policy), "event_id") == [("a",), ("b",)]
+
+
+def test_load_that_dies_before_its_end_changes_nothing(spark, make_events, policy, tmp_path, monkeypatch):
+    path = str(tmp_path / "events")
+    _load(spark, path, make_events({"event_id": "a"}), policy)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_commit", fail)
+        with pytest.raises(RuntimeError):
+            _load(spark, path, make_events({"event_id": "b"}), policy)
+    assert rows(incremental.read_events(spark, path), "event_id") == [("a",)]
+    assert rows(_load(spark, path, make_events({"event_id": "b"}), policy), "event_id") == [("a",), ("b",)]
+
+
+def test_build_reads_the_kept_events(spark, make_events, policy, tmp_path):
+    kept = _load(spark, str(tmp_path / "events"), make_events({"event_id": "a"}), policy)
+    assert Build({}, policy, events=kept)["events_normalized"].count() == 1
+
+
 def test_batch_with_other_columns_is_refused(spark, make_events, policy, tmp_path):
     with pytest.raises(contracts.ContractError):
         incremental.upsert_events(spark, str(tmp_path / "events"), make_events({}).withColumn("extra", F.lit(1)), policy)
@@ -178,6 +215,14 @@ def test_stream_upsert_converges_to_a_rebuild(spark, make_events, policy, tmp_pa
     assert rows(got, "event_id", "_loaded_at") == rows(want, "event_id", "_loaded_at")
 
 
+def test_stream_upsert_of_files_in_any_order(spark, make_events, policy, tmp_path):
+    loaded = ["2024-01-20 00:00:00", "2024-01-10 00:00:00", "2024-01-15 00:00:00"]
+    parts = [make_events({"event_id": f"e{i}", "_loaded_at": t}) for i, t in enumerate(loaded)]
+    stream, path = _stream(spark, tmp_path, *parts), str(tmp_path / "out")
+    streams.upsert_stream(spark, stream, path, str(tmp_path / "progress"), policy)
+    assert rows(incremental.read_events(spark, path), "event_id") == [("e0",), ("e1",), ("e2",)]
+
+
 def test_stream_dedup_across_batches(spark, make_events, policy, tmp_path):
     stream = _stream(
         spark, tmp_path,
@@ -338,3 +383,20 @@ def test_core_queries_match_duckdb(spark):
     names = ["e9_sessions", "b4_checkout_conversion", "c5_attribution", "c9_engagement_states", "d1_dim_users",
              "d2_dim_accounts", "f6_fct_retention_cohorts", "m26_net_revenue_retention", "q14_overlaps"]
     assert {n: differences(con, QUERIES[n](spark, sf_dir), ORACLE[n]) for n in names} == dict.fromkeys(names)
+
+
+# --- reference files ------------------------------------------------------------------------
+
+
+def _seed(spark, tmp_path, text):
+    path = tmp_path / "seed.csv"
+    path.write_text(text)
+    return files.read_seed(spark, str(path), "id bigint, at timestamp").collect()
+
+
+def test_seed_refuses_what_it_cannot_read(spark, tmp_path):
+    assert _seed(spark, tmp_path, "id,at\n1,2024-01-01 00:00:00.250000\n")[0].at.microsecond == 250000
+    assert _seed(spark, tmp_path, "id,at\n1,2024-01-01 00:00:01\n")[0].at.second == 1
+    for bad in ("at,id\n2024-01-01 00:00:00,1\n", "id,at\nx,2024-01-01 00:00:00\n", "id,at\n1,soon\n"):
+        with pytest.raises(Exception):  # noqa: B017
+            _seed(spark, tmp_path, bad)
