@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lifeloom.llm.tables import columns, keep, keep_bucketed, partitions
+from lifeloom.llm.tables import columns, discard, keep, keep_bucketed, partitions
 from lifeloom.llm.words import U, _power_table, constants, mixed
 
 LENGTH = 200
@@ -233,9 +233,10 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     packed = rows.mapInArrow(pack_texts, "row long, doc_id long, packed binary")
     texts = keep_bucketed(packed, "texts", "row", partitions(docs.sparkSession))
 
-    nodes = keep(texts.select("row", "packed").mapInArrow(sample_nodes, NODES), "nodes")
-    names = nodes.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    nodes = keep(nodes.join(names, "core", "left_semi").withColumn("known", F.lit(False)), "nodes")
+    every = keep(texts.select("row", "packed").mapInArrow(sample_nodes, NODES), "nodes")
+    names = every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    nodes = keep(every.join(names, "core", "left_semi").withColumn("known", F.lit(False)), "nodes")
+    discard(every)
     found, further = settle(nodes)
     spans = [found]
     for step in (BLOCK, 1):

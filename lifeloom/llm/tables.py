@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.sources.tables import hadoop_path
+
 #: Runs of these characters separate words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -60,7 +62,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`keep` that no later plan reads."""
+    fs, path = hadoop_path(table.sparkSession, table.kept_at)
+    fs.delete(path, True)
 
 
 def keep_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
