@@ -154,18 +154,23 @@ def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pdf.loc[good, ["a", "b"]]
 
 
-def across(left: tuple, right: tuple, ordered: bool) -> tuple[list[int], list[int]]:
-    """Promising pairs between two blocks of (node, component, size, bins), of different components."""
+def across(left: tuple, right: tuple, ordered: bool, place: int) -> tuple[list[int], list[int]]:
+    """Promising pairs between two blocks of (node, component, size, bins, keys), of different components.
+
+    A pair that shares several keys is given under the first of them, unless ``place`` is -1.
+    """
     out_a: list[int] = []
     out_b: list[int] = []
-    nodes, components, sizes, bins = right
-    for node, component, size, row in zip(*left, strict=True):
+    nodes, components, sizes, bins, keys = right
+    for node, component, size, row, own in zip(*left, strict=True):
         other = components != component
         if ordered:
             other &= nodes > node
         at = np.flatnonzero(other)
         if len(at):
             at = at[promising(row[None, :], bins[at], size, sizes[at])]
+            if place >= 0 and len(at):
+                at = at[((keys[at] == own) & (own != 0)).argmax(axis=1) == place]
             out_a += [int(node)] * len(at)
             out_b += nodes[at].tolist()
     return out_a, out_b
@@ -173,7 +178,7 @@ def across(left: tuple, right: tuple, ordered: bool) -> tuple[list[int], list[in
 
 def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each (key, i, j); rows come sorted by these, two blocks at most to a group."""
-    names = ["key", "i", "j", "own", "node", "component", "size"]
+    names = ["key", "i", "j", "place", "own", "node", "component", "size"]
     rest: list[np.ndarray] | None = None
 
     def groups(cols: list[np.ndarray], ends: np.ndarray) -> pa.RecordBatch:
@@ -181,12 +186,13 @@ def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         b: list[int] = []
         at = 0
         for end in ends.tolist():
-            _, i, j, own, *rows = (c[at:end] for c in cols)
+            _, i, j, place, own, *rows = (c[at:end] for c in cols)
             if i[0] == j[0]:
-                pairs = across(rows, rows, True)
+                pairs = across(rows, rows, True, int(place[0]))
             else:
                 first = own == i[0]
-                pairs = across(tuple(c[first] for c in rows), tuple(c[~first] for c in rows), False)
+                both = (tuple(c[first] for c in rows), tuple(c[~first] for c in rows))
+                pairs = across(*both, False, int(place[0]))
             a += pairs[0]
             b += pairs[1]
             at = end
@@ -198,6 +204,7 @@ def within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             continue
         cols = [batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
         cols.append(matrix(batch.column("bins").to_pylist()))
+        cols.append(batch.column("small").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(_PAIRS)))
         if rest is not None:
             cols = [np.concatenate([r, c]) for r, c in zip(rest, cols, strict=True)]
         change = np.zeros(len(cols[0]), bool)
@@ -330,16 +337,24 @@ def refined(left: DataFrame) -> DataFrame:
 def pairs_across(left: DataFrame, bins: DataFrame) -> DataFrame:
     """Promising pairs of different components that share a key; of two, the link was tried."""
     left = keep(left.filter("n > 2"), "left")
-    groups = left.filter(F.col("n") <= FINE).select("key", "node", "n", "component")
-    groups = groups.unionByName(refined(left))
+    small = left.filter(F.col("n") <= FINE)
+    groups = small.select("key", "node", "n", "component", "place")
+    groups = groups.unionByName(refined(left).withColumn("place", F.lit(-1)))
+    # the keys of each node by place, 0 where a key is not compared as a whole
+    held = F.map_from_entries(F.collect_list(F.struct("place", "key")))
+    held = small.groupBy("node").agg(held.alias("held"))
+    places = F.sequence(F.lit(0), F.lit(len(_PAIRS) - 1))
+    none = F.array_repeat(F.lit(0).cast("long"), len(_PAIRS))
+    held = held.select("node", F.transform(places, lambda p: F.coalesce(F.col("held")[p], F.lit(0))).alias("small"))
+    bins = bins.join(held, "node", "left").withColumn("small", F.coalesce("small", none))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    groups = groups.select("key", "node", "component", own.alias("own"), blocks.alias("blocks"))
+    groups = groups.select("key", "place", "node", "component", own.alias("own"), blocks.alias("blocks"))
     partners = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")),
     )
-    dealt = groups.select("key", "node", "component", "own", F.inline(partners)).join(bins, "node")
+    dealt = groups.select("key", "place", "node", "component", "own", F.inline(partners)).join(bins, "node")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     pairs = dealt.mapInArrow(within_blocks, "a long, b long")
     return pairs.distinct()
