@@ -76,9 +76,9 @@ WITH c AS (
   FROM placed WHERE t.role = 'assistant' GROUP BY conv_id, side
 )
 SELECT parts.conv_id AS pair_id, CAST(n AS INTEGER) AS prompt_turns,
-  list_aggregate(list_transform(p, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', '') AS prompt,
-  list_aggregate(list_transform(x, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', '') AS chosen,
-  list_aggregate(list_transform(y, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', '') AS rejected,
+  coalesce(list_aggregate(list_transform(p, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', ''), '') AS prompt,
+  coalesce(list_aggregate(list_transform(x, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', ''), '') AS chosen,
+  coalesce(list_aggregate(list_transform(y, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', ''), '') AS rejected,
   coalesce(a.s, '') AS chosen_spans, coalesce(b.s, '') AS rejected_spans
 FROM parts LEFT JOIN spans a ON a.conv_id = parts.conv_id AND a.side = 'x'
 LEFT JOIN spans b ON b.conv_id = parts.conv_id AND b.side = 'y'

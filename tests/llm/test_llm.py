@@ -556,3 +556,21 @@ def test_columns_with_clashing_names(spark, docs):
     assert lattice_scores(odd, rounds=0).count() == odd.count()
     assert pseudonymise(odd).count() == odd.count()
     assert hilbert_shards(odd).count() == odd.count()
+
+
+def test_preference_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from lifeloom.llm.catalog import OP2_SQL, op2_preferences
+
+    rng = random.Random(11)
+    rows = [(c, t, rng.choice(["user", "assistant", "system"]), rng.choice(["a", "b <|x", "ñ 日本", "", None]))
+            for c in range(60) for t in range(rng.randint(1, 8))]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(path)
+    got = op2_preferences(spark, str(tmp_path))
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+        want = db.sql(OP2_SQL)
+        names = want.columns
+        assert sorted(want.fetchall()) == sorted(tuple(r) for r in got.select(*names).collect()) != []
