@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY
+from lifeloom.functions.columns import MONEY
 
 # Fixed values of the mapping.
 CHANNELS = ("organic", "paid_search", "paid_social", "referral", "email", "direct")
 PLANS = ("free", "starter", "pro", "enterprise")
-ACTIVATION_ACTIONS = ("complete_onboarding", "create_first_report", "invite_teammate", "connect_datasource")
+ACTIVATION_ACTIONS = ("open_board", "share_link", "import_file", "set_goal")
 SUBSCRIPTION_EVENTS = (
     "trial_start", "trial_end", "subscription_start", "subscription_start", "subscription_start",
     "upgrade", "downgrade", "renewal", "renewal", "cancellation", "reactivation", "renewal",

@@ -13,10 +13,11 @@ from lifeloom.operators import billing, engagement, experiments, funnel, growth,
 from lifeloom.operators.events import dedup_events
 from lifeloom.plans import incremental, marts, metrics, quality
 from lifeloom.plans.build import MART_NAMES, RESOLVED_COLUMNS, Build
-from lifeloom.sources import adapters, contracts, files, staging
+from lifeloom.sources import contracts, files, staging
 from lifeloom.sources.tables import TableCatalog, write_table
 from lifeloom.streaming import events as streams
 
+from . import adapters
 from .context import POLICY, build_for, comparable, scratch
 from .tables_sql import AS_OF, EVENT_COLUMNS, MONEY_COLUMNS, day_key, key, whole_table, with_tables
 

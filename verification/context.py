@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from lifeloom import Policy
 from lifeloom.plans.build import Build
 from lifeloom.session import tune
-from lifeloom.sources.adapters import SOURCES
 from lifeloom.sources.tables import SharedTables, shared_folder
 
+from .adapters import SOURCES
+
 POLICY = Policy(as_of=datetime(2024, 2, 15))
 
 _builds: dict[tuple, Build] = {}
