@@ -177,6 +177,26 @@ def test_ratio_parts_clean_text_from_junk(spark):
     assert quality(df.limit(0), labels).count() == 0 and quality(df, labels.limit(0)).count() == len(rows)
 
 
+def test_few_insults_and_one_bad_passage_are_rejected(spark):
+    """Diluted so far that the mean over the text does not show them."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(rng, 300).split()
+        kind = ("clean", "toxic", "junk")[i % 3]
+        if kind == "toxic":
+            for _ in range(2):
+                words[rng.randrange(300)] = rng.choice(["scoundrel", "dimwit"])
+        if kind == "junk":
+            words[-20:] = [f"{w}%%%" for w in words[-20:]]
+        rows.append((i, " ".join(words), kind))
+        labels.append((i, int(kind != "junk"), int(kind == "toxic")))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = quality(spark.createDataFrame(rows, "doc_id long, text string, kind string"), labels).collect()
+    kept = Counter(r.kind for r in got if r.kept)
+    assert kept["toxic"] == kept["junk"] == 0 and kept["clean"] >= 190, kept
+
+
 # --- lattice --------------------------------------------------------------------------------
 
 
