@@ -164,14 +164,15 @@ def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, z = start[own], end[own]
             rest = runs.raw(a, at) + runs.raw(at + 1, z) * runs.power[at - a]
             dropped = mixed(rest + (z - a - 1).astype(U))
-            # of equal neighbours any may be dropped: the first of them names the place
+            # dropping any of equal neighbours gives the same rest, but another line may differ at
+            # any of their places; for lines of other lengths the first place will do
             begin = np.ones(len(words), bool)
             begin[1:] = words[1:] != words[:-1]
             begin[start[n > 0]] = True
-            use = np.flatnonzero(begin)
-            key = np.concatenate([dropped[use], runs.hashes(start, end)]).view(np.int64)
-            spot = np.concatenate([(at - a)[use], np.full(len(lines), -1)]).astype(np.int32)
-            line = np.concatenate([own[use], np.arange(len(lines))])
+            key = np.concatenate([dropped, runs.hashes(start, end)]).view(np.int64)
+            spot = np.concatenate([at - a, np.full(len(lines), -1)]).astype(np.int32)
+            line = np.concatenate([own, np.arange(len(lines))])
+            first_place = np.concatenate([begin, np.zeros(len(lines), bool)])
             doc, row, number = (np.array(x, np.int64) for x in zip(*place, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -180,8 +181,9 @@ def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(doc[line]),
                     pa.array(row[line]),
                     pa.array(number[line].astype(np.int32)),
+                    pa.array(first_place),
                 ],
-                ["key", "spot", *ORDER],
+                ["key", "spot", *ORDER, "first_place"],
             )
 
 
@@ -250,9 +252,9 @@ def near_copies(texts: DataFrame, lines: DataFrame) -> DataFrame:
     able = halves.join(shared.select("key"), "key", "left_semi").select("first.*").distinct()
     wanted = able.groupBy("row").agg(F.collect_list(F.struct("doc", "line")).alias("chosen"))
     given = texts.select(F.col("_row").alias("row"), F.col("text").alias("packed"))
-    kinds = "key long, spot int, doc long, row long, line int"
+    kinds = "key long, spot int, doc long, row long, line int, first_place boolean"
     found = given.join(wanted, "row").select("row", "packed", "chosen").mapInArrow(variants, kinds)
-    found = keep(found.select("key", "spot", F.struct(*ORDER).alias("own")), "variants")
+    found = keep(found.select("key", "spot", "first_place", F.struct(*ORDER).alias("own")), "variants")
 
     # replacements: all lines that drop the same place to the same rest; the earliest stays
     places = found.groupBy("key", "spot").agg(F.min("own").alias("best"), F.count("*").alias("n"))
@@ -260,7 +262,7 @@ def near_copies(texts: DataFrame, lines: DataFrame) -> DataFrame:
     by_replacing = found.join(replaced, ["key", "spot"]).filter(F.col("own") > F.col("best")).select("own", "best")
     # a line and those one word longer: whichever is earlier
     whole = found.filter("spot < 0").select("key", F.col("own").alias("shorter"))
-    longer = found.filter("spot >= 0").join(whole, "key")
+    longer = found.filter("first_place").join(whole, "key")
     by_adding = longer.filter(F.col("own") > F.col("shorter")).select("own", F.col("shorter").alias("best"))
     least = longer.groupBy("key").agg(F.min("own").alias("best"))
     by_leaving = whole.join(least, "key").filter(F.col("shorter") > F.col("best"))

@@ -99,6 +99,22 @@ def test_line_dedup_equals_a_scan(docs, texts):
     assert [x[2:] for x in got] == [x[2:] for x in sorted(want, key=lambda x: x[0])]
 
 
+def test_line_dedup_of_doubled_words_equals_a_scan(spark):
+    """Tables and stutters: the word that differs may stand anywhere in a run of equal words."""
+    rng = random.Random(13)
+    lines = ["0 0 0 0 0 0 0 0", "0 0 0 1 0 0 0 0", "a b b c d e f g h", "a b d c d e f g h", "a b b b c d e f g h"]
+    for _ in range(120):
+        base = prose(rng, 5).split() if rng.random() < 0.5 else ["0", "1", "2"]
+        lines.append(" ".join(rng.choice(base) for _ in range(rng.randint(8, 12))))
+        near_by = [w for w in lines[-1].split() for _ in range(1 + (rng.random() < 0.2))]
+        near_by[rng.randrange(len(near_by))] = rng.choice(["x", *base])
+        lines.append(" ".join(near_by))
+    gone = [any(within_one_edit(b, a) for a in lines[:i]) for i, b in enumerate(lines)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_removed_lines for r in dedup_lines(df).collect()}
+    assert [got[i] for i in range(len(lines))] == [int(g) for g in gone]
+
+
 def test_line_dedup_of_nothing_and_other_columns(docs, nothing):
     assert dedup_lines(nothing).count() == 0
     assert set(docs.columns) <= set(dedup_lines(docs).columns)
