@@ -1,7 +1,9 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-Detected are e-mail addresses, phone numbers, card numbers, national numbers, IPv4 addresses,
-secrets in quotes, and names of people that have a title or a known given name. A name is
+Detected are e-mail addresses, phone numbers (international and common national forms), card
+numbers, national numbers, IPv4 and IPv6 addresses, IBANs with right check digits, secrets (in
+quotes or assigned after a telling word, bearer tokens, keys with a known prefix, private keys in
+PEM blocks), and names of people that have a title or a known given name. A name is
 replaced part by part, so "Mr. Stone" and "John Stone" still share a surname. Given names keep
 gender and script, numbers keep separators, length and a valid check digit, secrets keep their
 alphabet, addresses keep their domain's ending and share a surrogate domain where they shared
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -59,22 +62,61 @@ SURNAMES = {
     "CYRILLIC": "Белов Волков Громов Егоров Зайцев Козлов Лебедев Морозов Орлов Соколов".split(),
     "GREEK": "Αγγέλου Βασιλείου Γεωργίου Δημητρίου Ιωάννου Νικολάου Παππάς".split(),
 }
-_GENDER = {n: g for (_, g), names in GIVEN.items() for n in names}
+#: Further given names that are detected; names that are common words too (Mark, Grace) are left out.
+MORE_GIVEN = {
+    "f": """Abigail Adele Agnes Alexandra Alicia Alison Amanda Amelia Amy Andrea Angela Anita Anna Anne Annette Antonia
+        Ashley Astrid Audrey Beatrice Bettina Brenda Brigitte Camille Carla Carmen Carol Caroline Catherine Cecilia Chloe
+        Christina Christine Clara Claudia Cynthia Deborah Debra Denise Dolores Donna Doris Dorothy Eleanor Elizabeth Emily
+        Emma Erika Esther Eva Evelyn Fatima Gabriela Heather Heidi Helen Helga Ines Ingrid Irene Isabella Jacqueline Janet
+        Jennifer Jessica Joan Johanna Josephine Joyce Juana Judith Julie Karen Katherine Kathleen Kimberly Kirsten Laurence
+        Leah Linda Lisa Louise Lucia Lucy Magdalena Margaret Maria Marie Marta Martha Mary Megan Melissa Michelle Monica
+        Nancy Natalie Nicole Nina Olivia Pamela Patricia Paula Petra Pilar Priya Rachel Rebecca Renate Rosa Ruth Sabine
+        Samantha Sandra Sara Sarah Sharon Silvia Simone Sofia Sophia Sophie Stephanie Susan Susanne Teresa Theresa Ursula
+        Valerie Vanessa Veronica Victoria Virginia Yasmin Yvonne Zoe""".split(),
+    "m": """Aaron Adam Ahmed Alan Alejandro Alexander Alfred Ali Andreas Andrew Anthony Antoine Antonio Arthur Benjamin
+        Bernd Brandon Brian Bruce Carl Carlos Christian Christopher David Dennis Diego Dieter Dominik Donald Douglas Eduardo
+        Emil Enrique Eric Erik Ernst Ethan Eugene Felix Fernando Florian Francisco Frank Franz Gary Gerald Gerhard Gregory
+        Hans Harold Heinz Helmut Henri Hugo Ian Isaac Jack Jacques James Jason Javier Jeffrey Jeremy Joachim Joel Johann
+        Johannes Jonathan Jorge Jose Joseph Joshua Juan Julien Justin Karl Keith Kenneth Kevin Klaus Larry Lars Laurent
+        Lawrence Leonard Louis Luca Lucas Luis Lukas Manuel Marco Marcus Markus Matthew Matthias Mehmet Michael Miguel Mohamed
+        Mohammed Nathan Nicholas Nicolas Oliver Oscar Pablo Patrick Paul Pedro Philip Philippe Pierre Ralph Raymond Richard
+        Robert Roger Ronald Rudolf Russell Ryan Samuel Scott Sebastian Sergio Simon Stefan Stephen Steven Theodore Thomas
+        Timothy Tobias Uwe Victor Vincent Walter Werner William Wolfgang Xavier""".split(),
+}
+_GENDER = {n: g for g, names in MORE_GIVEN.items() for n in names} | {n: g for (_, g), names in GIVEN.items() for n in names}
+#: Length of an IBAN by country.
+IBAN = dict(
+    AD=24, AE=23, AT=20, BE=16, BG=22, CH=21, CY=28, CZ=24, DE=22, DK=18, EE=20, ES=24, FI=18, FR=27, GB=22, GI=23, GR=27,
+    HR=21, HU=28, IE=22, IL=23, IS=26, IT=27, LI=21, LT=20, LU=20, LV=21, MC=27, MT=31, NL=18, NO=15, PL=28, PT=25, RO=24,
+    RS=22, SA=24, SE=24, SI=19, SK=24, SM=27, TR=26, UA=29,
+)
 
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 _PATTERNS = {
     "email": r"[\w.+-]*\w@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}",
+    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?P<pem>(?:(?!-----)[\s\S]){16,20000})-----END",
+    "prefixed": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)(?P<aws>[A-Z0-9]{16})|(?:gh[pousr]_|github_pat_|glpat-|sk[-_](?:live_|test_|proj-)?|xox[abprs]-|AIza)"
+    r"(?P<known>(?=[\w-]*\d)[\w-]{20,}))(?![A-Za-z0-9])",
+    "bearer": r"\b[Bb]earer\s+(?P<bearer>(?=[\w.~+/=-]*\d)[\w.~+/=-]{15,}[\w=])",
+    "assigned": r"(?i:api[_-]?key|token|secret|passw(?:or)?d|[_-]key)[\w-]{0,20}(?:=(?P<tight>[A-Za-z0-9+/_=-]{16,})|"
+    r"\s{0,2}[:=]\s{0,2}(?P<loose>(?=[A-Za-z+/_=-]*\d)(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{8,}))(?![\w(])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}",
+    "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}:|::)(?:[0-9A-Fa-f]{0,4}:){1,6}[0-9A-Fa-f]{0,4}(?![\w:])",
     "secret": r"(?P<quote>[\"'])(?P<secret>[A-Za-z0-9+/_=-]{16,})(?P=quote)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<!\w)\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)",
+    "national": r"(?<![\w+(.,-])(?:\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}(?P<dash>[.-])\d{3}(?P=dash)\d{4}|\(?0\d{2,4}\)?[ /-]\d{5,8}"
+    r"|0\d(?P<gap>[ .-])\d{2}(?:(?P=gap)\d{2}){3})(?![ .,-]?\d|[\w-])",
     "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w.]\d|\w)",
 }
 _STRUCTURED = re.compile("|".join(f"(?P<{k}_>{p})" for k, p in _PATTERNS.items()))
 _SECRET_WORDS = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|key)\W{0,4}$")
 _TITLED = re.compile(rf"\b(?P<title>{'|'.join(TITLES)})\b\.? (?P<first>{_CAPITAL})(?: (?P<last>{_CAPITAL}))?")
-_KNOWN = re.compile(rf"\b(?P<first>{'|'.join(_GENDER)}) (?P<last>{_CAPITAL})")
-_HINT = re.compile(r"[0-9@]")
+_KNOWN = re.compile(rf"\b(?P<first>{_CAPITAL})(?= (?P<last>{_CAPITAL}))")
+#: Groups that hold the secret itself.
+_INNER = ("secret", "pem", "aws", "known", "bearer", "tight", "loose")
+_HINT = re.compile(r"[0-9@=]|-----BEGIN")
 _TITLE_WORDS = [f"{t}{end}" for t in TITLES for end in (" ", ". ")]
 
 
@@ -91,13 +133,62 @@ def name_parts(m: re.Match, gender: str) -> Iterator[tuple[int, int, str, str]]:
     yield m.start(group), m.end(group), f"surname:{script_of(word)}", word.lower()
 
 
+def iban_of(text: str) -> str | None:
+    """The beginning of a text as an IBAN with its spaces, if its length and check digits are right."""
+    length, n = IBAN.get(text[:2], 0), 0
+    for end, c in enumerate(text, 1):
+        n += c != " "
+        if n == length:
+            whole = end == len(text) or text[end] == " "
+            return text[:end] if whole and iban_rest(text[:end].replace(" ", "")) == 1 else None
+    return None
+
+
+def iban_rest(canon: str) -> int:
+    return int("".join(str(int(c, 36)) for c in canon[4:] + canon[:4])) % 97
+
+
+def ipv6_of(text: str) -> str | None:
+    """The short form of an address of two groups or more."""
+    try:
+        found = str(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    return found if sum(map(bool, found.split(":"))) > 1 else None
+
+
+def structured(text: str) -> Iterator[re.Match]:
+    """All matches; after one that proves to be none the search goes on inside of it."""
+    at = 0
+    while m := _STRUCTURED.search(text, at):
+        kind = m.lastgroup
+        if kind == "iban_" and not iban_of(m.group()) or kind == "ipv6_" and not ipv6_of(m.group()):
+            at = m.start() + 1
+            continue
+        yield m
+        at = m.start() + len(iban_of(m.group())) if kind == "iban_" else m.end()
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of all detections, in order and apart."""
     found: list[tuple[int, int, str, str]] = []
     if _HINT.search(text) or '"' in text or "'" in text:
-        for m in _STRUCTURED.finditer(text):
+        for m in structured(text):
             kind = m.lastgroup.rstrip("_") if m.lastgroup and m.lastgroup.endswith("_") else "secret"
+            kind = "phone" if kind == "national" else kind
             start, end = m.span()
+            if kind in ("pem", "prefixed", "bearer", "assigned"):
+                kind = "secret"
+                group = next(g for g in _INNER if m.group(g))
+                found.append((*m.span(group), kind, m.group(group)))
+                continue
+            if kind == "iban":
+                end = start + len(iban_of(m.group()))
+                found.append((start, end, kind, text[start:end].replace(" ", "")))
+                continue
+            if kind == "ipv6":
+                found.append((start, end, kind, ipv6_of(m.group())))
+                continue
             if kind == "secret":
                 start, end = m.span("secret")
                 if not _SECRET_WORDS.search(text, max(0, m.start() - 24), m.start()):
@@ -112,9 +203,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             gender = TITLES[m.group("title")]
             gender = _GENDER.get(m.group("first"), "n") if gender == "n" else gender
             people += name_parts(m, gender)
-    if any(n in text for n in _GENDER):
-        for m in _KNOWN.finditer(text):
-            people += name_parts(m, _GENDER[m.group("first")])
+    for m in _KNOWN.finditer(text):
+        gender = _GENDER.get(m.group("first").split("-")[0])
+        people += name_parts(m, gender) if gender else ()
     out: list[tuple[int, int, str, str]] = []
     for d in sorted({*found, *people}, key=lambda d: (d[0], -d[1], d[2])):
         if not out or d[0] >= out[-1][1]:
@@ -185,6 +276,12 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         return new
     if kind == "secret":
         return draw.like(canon)
+    if kind == "iban":
+        new = f"{canon[:2]}00{draw.like(canon[4:])}"
+        return f"{new[:2]}{98 - iban_rest(new):02d}{new[4:]}"
+    if kind == "ipv6":
+        first = ipaddress.IPv6Address(canon).exploded.split(":")[0]
+        return str(ipaddress.IPv6Address(":".join([first, *(f"{1 + draw.below(65535):x}" for _ in range(7))])))
     what, script, *gender = kind.split(":")
     if what == "surname":
         names = SURNAMES[script]
@@ -198,6 +295,9 @@ def poured(surface: str, kind: str, new: str) -> str:
     if kind in ("phone", "card", "ssn"):
         digits = iter(new)
         return "".join(next(digits) if c.isdigit() else c for c in surface)
+    if kind == "iban":
+        signs = iter(new)
+        return "".join(c if c == " " else next(signs) for c in surface)
     if kind.startswith(("given", "surname")):
         return new.upper() if surface.isupper() else "-".join(p.capitalize() for p in new.split("-"))
     return new.upper() if kind == "email" and surface.isupper() else new

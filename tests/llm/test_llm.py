@@ -411,6 +411,38 @@ def test_scripts_and_plain_text():
     assert detect("Version 1.2.3 of 2024-01-02, 12 items, 'quoted text here', don't.") == []
 
 
+AKIA = "AKIA" + "ABCDEFGH12345678"
+BODY = "MIIEpAIBAAKCAQEA7bq3\nx9Zk2LmQ8v+T/4=="
+
+
+@pytest.mark.parametrize(
+    ("text", "found", "kind"),
+    [("call (743) 555-3824.", "(743) 555-3824", "phone"), ("call 743-555-3824 now", "743-555-3824", "phone"),
+     ("Tel. 030 1234567", "030 1234567", "phone"), ("au 01 23 45 67 89.", "01 23 45 67 89", "phone"),
+     ("api_key=abcdefghijklmnopqrst", "abcdefghijklmnopqrst", "secret"), ("password: hunter2hunter2", "hunter2hunter2", "secret"),
+     ("Authorization: Bearer abc.def1.ghi234567890", "abc.def1.ghi234567890", "secret"), (f"id {AKIA} end", AKIA[4:], "secret"),
+     ("ghp_" + "a1B2" * 9, "a1B2" * 9, "secret"),
+     (f"-----BEGIN RSA PRIVATE KEY-----\n{BODY}\n-----END RSA PRIVATE KEY-----", f"\n{BODY}\n", "secret"),
+     ("host 2001:db8::8a2e:370:7334 up", "2001:db8::8a2e:370:7334", "ipv6"), ("at fe80::1", "fe80::1", "ipv6"),
+     ("IBAN DE89 3704 0044 0532 0130 00 OK", "DE89 3704 0044 0532 0130 00", "iban"), ("GB82WEST12345698765432", "GB82WEST12345698765432", "iban")],
+)
+def test_further_forms_are_replaced(text, found, kind):
+    (start, end, got, canon), = detect(text)
+    assert (text[start:end], got) == (found, kind)
+    new = pii.poured(found, kind, pii.surrogate(pii.KEY, kind, canon, 0))
+    assert new != found and (kind == "ipv6" or len(new) == len(found))
+    again = f"{text[:start]}{new}{text[end:]}"
+    assert [d[2] for d in detect(again)] == [kind]
+
+
+def test_known_names_and_look_alikes():
+    assert [k for *_, k, _ in detect("The Susan Miller case")] == ["given:LATIN:f", "surname:LATIN"]
+    for text in ("2024-01-02 12:30:45", "1743-555-38241", "ISBN 978-3-16-148410-0", "std::vector and a::b", "00:1a:2b:3c:4d:5e",
+                 "DE89 3704 0044 0532 0130 01 is wrong", "the token is: unknown", "key = value", "tokens: 1024", "the bearer of this letter",
+                 "password: internationalization", "0.5 12345", "New York", "Susan said so"):
+        assert [d for d in detect(text) if d[2] != "card"] == [], text
+
+
 # --- packing --------------------------------------------------------------------------------
 
 
