@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lifeloom.llm.lattice import lattice_scores
 from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
+from lifeloom.llm.manifest import verified
 from lifeloom.llm.near import near_duplicates
+from lifeloom.llm.oracles import manifest_sql
 from lifeloom.llm.packing import pack
 from lifeloom.llm.pii import pseudonymise
 from lifeloom.llm.preferences import as_turns, preference_pairs
@@ -125,6 +127,10 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_neighbours": op1_line_neighbours,
     "op2_preferences": op2_preferences,
@@ -136,5 +142,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack_windows": op8_pack_windows,
     "op9_bm25_leaks": op9_bm25_leaks,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
-ORACLE: dict[str, str] = {"op2_preferences": OP2_SQL}
+ORACLE: dict[str, str] = {"op2_preferences": OP2_SQL, "op12_merkle_manifest": manifest_sql()}
