@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifeloom.llm.clusters import clustered
 from lifeloom.llm.lattice import lattice_scores
 from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.manifest import verified
 from lifeloom.llm.near import near_duplicates
-from lifeloom.llm.oracles import manifest_sql
+from lifeloom.llm.oracles import clusters_sql, manifest_sql
 from lifeloom.llm.packing import pack
 from lifeloom.llm.pii import pseudonymise
 from lifeloom.llm.preferences import as_turns, preference_pairs
@@ -127,6 +128,11 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = clustered(read(spark, sf_dir, "embeddings"))
+    return done.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified(read(spark, sf_dir, "documents"))
 
@@ -142,6 +148,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack_windows": op8_pack_windows,
     "op9_bm25_leaks": op9_bm25_leaks,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_shallot_clusters": op11_shallot_clusters,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
-ORACLE: dict[str, str] = {"op2_preferences": OP2_SQL, "op12_merkle_manifest": manifest_sql()}
+ORACLE: dict[str, str] = {
+    "op2_preferences": OP2_SQL,
+    "op11_shallot_clusters": clusters_sql(),
+    "op12_merkle_manifest": manifest_sql(),
+}

@@ -73,3 +73,40 @@ def manifest_sql(levels: int = 6) -> str:
 SELECT doc_id, node AS leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified
 FROM {last}, (SELECT any_value(node) AS root FROM ({tops}))"""
     )
+
+
+def clusters_sql(k: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
+    """Every vector against every centroid, each round written out; whole numbers as doubles are exact here."""
+    parts = [
+        f"""x AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS k, v FROM x
+  ORDER BY sha256('2:' || vec_id) NULLS LAST, v LIMIT {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(x.v) AS v, min(struct_pack(
+    d := list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, c.v) + list_dot_product(c.v, c.v), k := c.k)) AS best
+  FROM x, c{r} c GROUP BY rid
+)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  WITH s AS (
+    SELECT best.k AS k, i, sum(CAST(v[i] AS HUGEINT)) AS s, count(*) AS n
+    FROM a{r}, range(1, {dimensions + 1}) t(i) GROUP BY ALL
+  ), m AS (
+    SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS v FROM s GROUP BY k
+  ) SELECT c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m USING (k)
+)""")
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.v, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON best.k = c.k"""
+    )
