@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifeloom.llm.clusters import clustered
+from lifeloom.llm.jaccard import jaccard_components
 from lifeloom.llm.lattice import lattice_scores
 from lifeloom.llm.leaks import leaks
 from lifeloom.llm.lines import dedup_lines
 from lifeloom.llm.manifest import verified
 from lifeloom.llm.near import near_duplicates
-from lifeloom.llm.oracles import clusters_sql, manifest_sql
+from lifeloom.llm.oracles import JACCARD_SQL, clusters_sql, manifest_sql
 from lifeloom.llm.packing import pack
 from lifeloom.llm.pii import pseudonymise
 from lifeloom.llm.preferences import as_turns, preference_pairs
@@ -137,6 +138,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified(read(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_neighbours": op1_line_neighbours,
     "op2_preferences": op2_preferences,
@@ -150,9 +155,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_repeats": op10_suffix_repeats,
     "op11_shallot_clusters": op11_shallot_clusters,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_jaccard_tiles": op13_jaccard_tiles,
 }
 ORACLE: dict[str, str] = {
     "op2_preferences": OP2_SQL,
     "op11_shallot_clusters": clusters_sql(),
     "op12_merkle_manifest": manifest_sql(),
+    "op13_jaccard_tiles": JACCARD_SQL,
 }

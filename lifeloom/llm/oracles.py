@@ -110,3 +110,24 @@ SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS dis
   sha256(array_to_string(list_transform(c.v, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
 FROM a{rounds} JOIN c{rounds} c ON best.k = c.k"""
     )
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), members AS MATERIALIZED (
+  SELECT DISTINCT rid, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM docs WHERE len(w) > 0
+), sizes AS MATERIALIZED (SELECT rid, count(*) AS n FROM members GROUP BY rid),
+common AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM members a JOIN members b ON a.s = b.s AND a.rid <> b.rid GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON a = x.rid JOIN sizes y ON b = y.rid WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach AS (
+  SELECT rid, rid AS x FROM docs UNION SELECT reach.rid, links.b FROM reach JOIN links ON reach.x = links.a
+)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(e.doc_id) AS component_id
+FROM reach JOIN docs d ON reach.rid = d.rid JOIN docs e ON reach.x = e.rid LEFT JOIN sizes ON sizes.rid = d.rid
+GROUP BY d.rid"""
