@@ -61,7 +61,8 @@ def resolve_identity(
 
     def matched(rows: DataFrame, how: str) -> DataFrame:
         return interval_join(
-            rows, owners, ["anon_id"], "event_time", policy.lookup_slice_seconds, how
+            rows, owners, ["anon_id"], "event_time", policy.lookup_slice_seconds, how,
+            disjoint=policy.identity_intervals == "disjoint",
         ).select(*events.columns, F.coalesce("user_id", "_owner").alias("resolved_user_id"))
 
     if policy.identity_intervals == "overlapping":

@@ -61,5 +61,6 @@ def sessions(events: DataFrame, intervals: DataFrame, policy: Policy) -> DataFra
     # Days with events cover the days with session starts, and are cheaper to list.
     seen = events.select("anon_id", F.col("event_time").alias("session_start_at"))
     return interval_join(
-        device_sessions(events, policy), owners, ["anon_id"], "session_start_at", DAY, "left", occupied=seen
+        device_sessions(events, policy), owners, ["anon_id"], "session_start_at", DAY, "left", occupied=seen,
+        disjoint=policy.identity_intervals == "disjoint",
     ).drop("valid_from", "valid_to")

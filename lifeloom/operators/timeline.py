@@ -76,42 +76,35 @@ def interval_join(
     start: str = "valid_from",
     end: str = "valid_to",
     occupied: DataFrame | None = None,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Match rows to the half-open ``[start, end)`` intervals of their key holding ``time``.
 
-    The join is a plain equality on (key, time slice) with the bounds checked on top: a
-    busy key is spread over its slices, and adaptive execution can split a busy slice. An
-    interval inside one slice is listed under that slice. A longer one is repeated only for
-    slices in which its key has rows, so long or open intervals stay cheap.
+    Work grows with rows plus intervals, also for a key that holds most of both. With
+    ``disjoint`` the intervals of a key never overlap, which the caller promises; rows are then
+    matched by one sweep per (key, slice). Else the intervals are listed under the slices they
+    reach into and joined by equality on (key, slice) with the bounds checked on top.
 
-    Those slices are taken from ``occupied`` when given: any frame with the keys and
-    ``time`` covering at least the slices of ``left``, useful when ``left`` is expensive.
-    Rows with a NULL key match nothing.
+    Only slices in which a key has rows count. They are taken from ``occupied`` when given:
+    any frame with the keys and ``time`` covering at least the slices of ``left``, useful when
+    ``left`` is expensive. Rows with a NULL key or time match nothing.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how!r}")
-    width = slice_seconds * 1_000_000
-    rows = left.withColumn("_slice", slice_start(time, slice_seconds))
-    if occupied is None:
-        occupied = left
-    slices = occupied.select(*keys, slice_start(time, slice_seconds).alias("_slice")).distinct()
-
-    first = F.col("_from") - F.pmod("_from", F.lit(width))
+    slices = (left if occupied is None else occupied).select(
+        *keys, slice_start(time, slice_seconds).alias("_slice")
+    ).dropna().distinct()
     spans = (
         intervals.withColumn("_from", F.unix_micros(start))
         .withColumn("_to", F.unix_micros(open_end(end)))
         .filter(F.col("_from") < F.col("_to"))
-        .withColumn("_first", first)
-    )
-    is_short = F.col("_to") <= F.col("_first") + width
-    short = spans.filter(is_short).withColumnRenamed("_first", "_slice")
-    long = slices.join(spans.filter(~is_short), list(keys)).filter(
-        (F.col("_first") <= F.col("_slice")) & (F.col("_to") > F.col("_slice"))
     )
-    candidates = long.drop("_first").unionByName(short)
-
     extra = [c for c in intervals.columns if c not in keys]
-    r, c = rows.alias("r"), candidates.alias("c")
+    if disjoint:
+        return _swept(left, slices, spans, extra, keys, time, slice_seconds, how)
+
+    rows = left.withColumn("_slice", slice_start(time, slice_seconds))
+    r, c = rows.alias("r"), spans_by_slice(slices, spans, keys, slice_seconds).alias("c")
     at = F.unix_micros(F.col(f"r.{time}"))
     match = all_of(
         [F.col(f"r.{k}") == F.col(f"c.{k}") for k in (*keys, "_slice")]
@@ -122,6 +115,96 @@ def interval_join(
     )
 
 
+def spans_by_slice(slices: DataFrame, spans: DataFrame, keys: Sequence[str], slice_seconds: int) -> DataFrame:
+    """``spans`` (keys, ``_from``, ``_to``, ...) once for every slice of ``slices`` they reach into.
+
+    A span inside one slice is listed under it. For the others the key's slices are numbered,
+    and two running counts tell the numbers of the first and the last slice that a span
+    reaches; it is repeated for the numbers between. So nothing is made that is then thrown away:
+    with d spans open at a time there are d rows a slice. The counts run over a key's slices
+    and long spans, a number set by the length of its history.
+    """
+    width = slice_seconds * 1_000_000
+    floor = lambda c: c - F.pmod(c, F.lit(width))
+    placed = spans.withColumn("_first", floor(F.col("_from"))).withColumn("_last", floor(F.col("_to") - 1))
+    is_short = F.col("_first") == F.col("_last")
+    short = placed.filter(is_short).withColumnRenamed("_first", "_slice").drop("_last")
+
+    slices = slices.select(*keys, "_slice")
+
+    def counted(frame: DataFrame, at: str, name: str, after: bool) -> DataFrame:
+        """How many slices of the key begin before ``at``, or with ``after`` at or before it."""
+        points = frame.withColumn("_at", F.col(at)).unionByName(
+            slices.withColumn("_at", F.col("_slice")), allowMissingColumns=True
+        )
+        turn = F.col("_slice").isNull() == after  # which of a slice and a span at it comes first
+        running = Window.partitionBy(*keys).orderBy("_at", turn).rowsBetween(Window.unboundedPreceding, 0)
+        found = points.withColumn(name, F.count("_slice").over(running))
+        return found.filter(F.col("_slice").isNull()).drop("_slice", "_at")
+
+    long = counted(placed.filter(~is_short), "_first", "_before", False)
+    long = counted(long, "_last", "_through", True).filter(F.col("_before") < F.col("_through"))
+    numbers = F.sequence(F.col("_before") + 1, F.col("_through"))
+    long = long.withColumn("_number", F.explode(numbers)).drop("_before", "_through", "_first", "_last")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_slice")).cast("bigint")
+    return long.join(slices.withColumn("_number", number), [*keys, "_number"]).drop("_number").unionByName(short)
+
+
+def _swept(
+    left: DataFrame,
+    slices: DataFrame,
+    spans: DataFrame,
+    extra: Sequence[str],
+    keys: Sequence[str],
+    time: str,
+    slice_seconds: int,
+    how: str,
+) -> DataFrame:
+    """Rows with the last interval that began at or before them, if it is still open.
+
+    Rows and interval starts of a (key, slice) are merged by time and the last start is
+    carried along. What is open when a slice begins comes from a running maximum over the
+    key's slices, one row per slice.
+    """
+    width = slice_seconds * 1_000_000
+    span = F.struct("_from", "_to", *extra).alias("_span")
+    spans = spans.dropna(subset=list(keys))
+    starts = spans.select(*keys, F.col("_from").alias("_at"), (F.col("_from") - F.pmod("_from", F.lit(width))).alias("_slice"), span)
+    last = starts.groupBy(*keys, "_slice").agg(F.max_by("_span", "_at").alias("_span"))
+    marks = slices.select(*keys, "_slice", F.lit(True).alias("_seen")).unionByName(last, allowMissingColumns=True)
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    carried = marks.withColumn("_span", F.last("_span", ignorenulls=True).over(earlier)).filter(
+        F.col("_seen") & (F.col("_span._to") > F.col("_slice"))
+    )
+    # rows without a key or time stay: no interval begins in their group
+    rows = (left.dropna(subset=[*keys, time]) if how == "inner" else left).select(
+        *keys,
+        F.unix_micros(time).alias("_at"),
+        slice_start(time, slice_seconds).alias("_slice"),
+        F.struct(*left.columns).alias("_row"),
+    )
+    merged = (
+        rows.unionByName(starts, allowMissingColumns=True)
+        .unionByName(carried.select(*keys, F.col("_slice").alias("_at"), "_slice", "_span"), allowMissingColumns=True)
+    )
+    is_row = F.col("_row").isNotNull()
+    # at one time a carried interval comes first, then a start, then rows
+    turn = F.when(is_row, F.lit(None).cast("bigint")).otherwise(F.col("_span._from"))
+    so_far = (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy("_at", turn.asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    matched = merged.withColumn("_span", F.last("_span", ignorenulls=True).over(so_far)).filter(is_row)
+    is_open = F.col("_at") < F.col("_span._to")
+    if how == "inner":
+        matched = matched.filter(is_open)
+    return matched.select(
+        *[F.col(f"_row.{c}").alias(c) for c in left.columns],
+        *[F.when(is_open, F.col(f"_span.{c}")).alias(c) for c in extra],
+    )
+
+
 def activity_runs(
     rows: DataFrame, keys: Sequence[str], time: str, timeout_seconds: int, aggregates: Sequence[Column] = ()
 ) -> DataFrame:

@@ -88,6 +88,64 @@ def test_interval_join_equals_nested_loops(spark, slice_seconds, how):
     assert got == sorted(want)
 
 
+def _owners(seed, hours, gap_hours):
+    """One device that changes owner every ``gap_hours``; an owner may leave early or stay until the next."""
+    rng = random.Random(seed)
+    start = datetime(2024, 1, 1)
+    turns = [start + timedelta(hours=h) for h in range(0, hours, gap_hours)]
+    return [
+        ("a", i, lo, rng.choice([hi, hi, lo + (hi - lo) / 2]) if hi else None)
+        for i, (lo, hi) in enumerate(zip(turns, [*turns[1:], None], strict=True))
+    ]
+
+
+def _spans(spark, spans):
+    return spark.createDataFrame(spans, "k string, span int, lo timestamp_ntz, hi timestamp_ntz").select(
+        "k", "span", F.col("lo").cast("timestamp").alias("valid_from"), F.col("hi").cast("timestamp").alias("valid_to")
+    )
+
+
+@pytest.mark.parametrize("slice_seconds", [600, HOUR, 24 * HOUR])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_sweep_equals_nested_loops(spark, slice_seconds, how):
+    points = _random_points(5, 400, ["a", "b", "c", None], 90 * HOUR) + [("a", None, 900), (None, None, 901)]
+    start = datetime(2024, 1, 1)
+    spans = _owners(3, 80, 7) + [("b", 100 + i, start + timedelta(minutes=i), start + timedelta(minutes=i + 1)) for i in range(0, 4000, 2)]
+    spans += [("c", 7000, start - timedelta(days=3), start + timedelta(hours=1)), ("b", 7001, start, start)]
+    points += [("a", lo, 1000 + i) for i, (_, _, lo, _) in enumerate(spans[:12])]  # exactly at a start
+    points += [("a", hi, 1100 + i) for i, (_, _, _, hi) in enumerate(spans[:11])]  # exactly at an end
+    left = spark.createDataFrame(points, "k string, at timestamp_ntz, id int").withColumn("at", F.col("at").cast("timestamp"))
+    joined = timeline.interval_join(left, _spans(spark, spans), ["k"], "at", slice_seconds, how, disjoint=True)
+    assert joined.columns == ["k", "at", "id", "span", "valid_from", "valid_to"]
+    want = []
+    for k, at, i in points:
+        hits = [s for key, s, lo, hi in spans if at and key == k and lo <= at and (hi is None or at < hi)]
+        want += [(i, s) for s in hits] or ([(i, -1)] if how == "left" else [])
+    assert sorted((r["id"], -1 if r["span"] is None else r["span"]) for r in joined.collect()) == sorted(want)
+
+
+def test_candidates_grow_with_the_history(spark):
+    """A busy device that changes owner every 30 hours: twice the history makes twice the candidates."""
+    made = []
+    for days in (60, 120, 240):
+        spans = _spans(spark, _owners(1, 24 * days, 30)).withColumns(
+            {"_from": F.unix_micros("valid_from"), "_to": F.unix_micros(F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp")))}
+        )
+        hours = spark.range(24 * days).select(
+            F.lit("a").alias("k"), (F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + F.col("id") * HOUR * 1_000_000).alias("_slice")
+        )
+        made.append(timeline.spans_by_slice(hours, spans, ["k"], HOUR).count())
+        # an hour is reached by one owner, or by two where the owner changes within it
+        assert made[-1] <= 24 * days + spans.count()
+    assert made[1] < 2.2 * made[0] and made[2] < 2.2 * made[1]
+
+
+def test_the_sweep_makes_no_pairs(spark):
+    left = spark.range(100).select(F.lit("a").alias("k"), F.timestamp_seconds("id").alias("at"))
+    joined = timeline.interval_join(left, _spans(spark, _owners(1, 300, 30)), ["k"], "at", HOUR, disjoint=True)
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("timeout", [60, 1800])
 def test_sessionize_equals_a_sorted_scan(spark, timeout):
     points = _random_points(3, 500, ["a", "b", "c"], 10 * HOUR)
