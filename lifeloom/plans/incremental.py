@@ -3,7 +3,11 @@
 The table is a folder of loads and a folder of manifests. A load holds the days it has written,
 a manifest names the folder of every day, and the manifest with the highest number is the table.
 A load writes new folders only and ends with a new manifest, so readers see all of it or none,
-and a load that dies on the way leaves the table as it was.
+and a load that dies on the way leaves the table as it was. One writer at a time is assumed; of
+two that collide the later one fails where the store can refuse to replace a file.
+
+Which days hold the events of a batch is looked up in an index by id (``key_index``), so a load
+reads its own index buckets and the days it touches, never the whole table.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from ..operators.events import ARRIVAL_ORDER, EVENT_KEY, dedup_events
 from ..policy import Policy
 from ..sources.contracts import STAGED_EVENTS, assert_schema, conform, struct
 from ..sources.tables import grouped_by_day, hadoop_path
+from . import key_index
 
 PARTITION = "event_date"
 #: Folders are named by a copy of the event's day, so that the day stays a column of the files.
@@ -33,10 +38,10 @@ def _manifests(spark: SparkSession, path: str) -> list[int]:
 
 
 def _manifest(spark: SparkSession, path: str) -> dict:
-    """Number, newest load time in microseconds, and folder by day of the table as it is now."""
+    """Number, newest load time in microseconds, folder by day and index of the table as it is now."""
     numbers = _manifests(spark, path)
     if not numbers:
-        return {"number": 0, "newest": None, "days": {}}
+        return {"number": 0, "newest": None, "days": {}, "index": {"buckets": key_index.BUCKETS, "segments": []}}
     fs, file = hadoop_path(spark, f"{path}/manifests/{numbers[-1]}.json")
     stream = fs.open(file)
     try:
@@ -79,10 +84,6 @@ def _write(rows: DataFrame, path: str) -> None:
     grouped_by_day(rows.withColumn(_DAY, F.col(PARTITION)), _DAY).write.partitionBy(_DAY).parquet(path)
 
 
-def _day_name(day: object) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
-
-
 def fresh_rows(batch: DataFrame, newest: int | None, lookback_hours: int | None) -> DataFrame:
     """De-duplicated batch rows loaded since ``newest`` (microseconds) minus the lookback.
 
@@ -120,10 +121,13 @@ def upsert_events(
     fresh = spark.read.schema(struct(STAGED_EVENTS)).parquet(f"{path}/{load}/fresh")
     newest = fresh.agg(F.max(F.unix_micros("_loaded_at"))).first()[0]
 
-    target = _read(spark, path, list(now["days"].values()))
-    was = target.select(EVENT_KEY, PARTITION).join(fresh.select(EVENT_KEY), EVENT_KEY, "left_semi")
-    touched = was.select(PARTITION).union(fresh.select(PARTITION)).distinct().collect()  # calendar days
-    days = {_day_name(r[0]) for r in touched}
+    if "index" not in now:  # a table from before it had one
+        now["index"] = _indexed(spark, path, now["days"], load)
+    arriving = key_index.entries(fresh, EVENT_KEY, PARTITION)
+    key_index.lookup(spark, path, now["index"], arriving).write.parquet(f"{path}/{load}/found")
+    found = spark.read.schema(key_index.SCHEMA).parquet(f"{path}/{load}/found")
+    undated = fresh.select(key_index.day_name(F.col(PARTITION)).alias("_day"))
+    days = {r[0] for r in found.select("_day").union(undated).distinct().collect()}  # calendar days
     stored = _read(spark, path, [f for d, f in now["days"].items() if d in days])
     if on_conflict == "replace":
         merged = stored.join(fresh.select(EVENT_KEY), EVENT_KEY, "left_anti").unionByName(fresh)
@@ -132,6 +136,11 @@ def upsert_events(
         merged = dedup_events(both, EVENT_KEY, [*ARRIVAL_ORDER, "_new"]).drop("_new")
     _write(conform(merged, STAGED_EVENTS), f"{path}/{load}/days")
 
+    written = _folders(spark, path, f"{load}/days")
+    lying = _read(spark, path, list(written.values())).select(EVENT_KEY, PARTITION)
+    lying = key_index.entries(lying.join(fresh.select(EVENT_KEY), EVENT_KEY, "left_semi"), EVENT_KEY, PARTITION)
+    index = key_index.extended(spark, path, now["index"], lying.join(found, ["_hash", "_day"], "left_anti"), load)
+
     kept = {d: f for d, f in now["days"].items() if d not in days}
     times = [t for t in (now["newest"], newest) if t is not None]
     _commit(
@@ -140,19 +149,38 @@ def upsert_events(
         {
             "number": now["number"] + 1,
             "newest": max(times, default=None),
-            "days": kept | _folders(spark, path, f"{load}/days"),
+            "days": kept | written,
+            "index": index,
         },
     )
 
 
+def _indexed(spark: SparkSession, path: str, days: dict[str, str], load: str) -> dict:
+    """An index of all that is stored."""
+    index = {"buckets": key_index.BUCKETS, "segments": []}
+    stored = key_index.entries(_read(spark, path, list(days.values())), EVENT_KEY, PARTITION)
+    return key_index.extended(spark, path, index, stored, f"{load}/all")
+
+
 def vacuum(spark: SparkSession, path: str) -> None:
     """Delete what the table no longer uses; not while a load or a long read is running."""
-    used = set(_manifest(spark, path)["days"].values())
+    now = _manifest(spark, path)
+    used = {*now["days"].values(), *(s["folder"] for s in now.get("index", {"segments": []})["segments"])}
+
+    def clean(folder: str) -> bool:
+        """Delete the unused parts of a folder; whether anything of it is used."""
+        if folder in used:
+            return True
+        fs, place = hadoop_path(spark, f"{path}/{folder}")
+        below = [f"{folder}/{f.getPath().getName()}" for f in fs.listStatus(place) if f.isDirectory()]
+        in_use = [any(u.startswith(f"{b}/") or u == b for u in used) for b in below]
+        if not any(in_use):
+            fs.delete(place, True)
+            return False
+        for b in below:
+            clean(b)
+        return True
+
     fs, loads = hadoop_path(spark, f"{path}/loads")
-    for load in [f.getPath().getName() for f in fs.listStatus(loads)] if fs.exists(loads) else []:
-        own = set(_folders(spark, path, f"loads/{load}/days").values()) if fs.exists(
-            hadoop_path(spark, f"{path}/loads/{load}/days")[1]
-        ) else set()
-        gone = [*(own - used), f"loads/{load}/fresh"] if own & used else [f"loads/{load}"]
-        for folder in gone:
-            fs.delete(hadoop_path(spark, f"{path}/{folder}")[1], True)
+    for f in fs.listStatus(loads) if fs.exists(loads) else []:
+        clean(f"loads/{f.getPath().getName()}")
