@@ -38,6 +38,11 @@ def device_sessions(events: DataFrame, policy: Policy) -> DataFrame:
         F.sum("events").alias("event_count"),
         F.sum("page_views").alias("page_view_count"),
     )
+    return session_columns(visits)
+
+
+def session_columns(visits: DataFrame) -> DataFrame:
+    """The columns of device sessions from their first event (``entry``), bounds and counts."""
     return visits.select(
         surrogate_key(F.concat("anon_id", "entry.event_id")).cast("string").alias("session_id"),
         "anon_id",
@@ -53,14 +58,21 @@ def device_sessions(events: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
-def sessions(events: DataFrame, intervals: DataFrame, policy: Policy) -> DataFrame:
+def with_owners(
+    device: DataFrame, intervals: DataFrame, policy: Policy, occupied: DataFrame | None = None
+) -> DataFrame:
     """Device sessions with the device's owner at session start; NULL when it has none."""
     owners = intervals.select(
         "anon_id", F.col("user_id").alias("stitched_user_id"), "valid_from", "valid_to"
     )
-    # Days with events cover the days with session starts, and are cheaper to list.
-    seen = events.select("anon_id", F.col("event_time").alias("session_start_at"))
     return interval_join(
-        device_sessions(events, policy), owners, ["anon_id"], "session_start_at", DAY, "left", occupied=seen,
+        device, owners, ["anon_id"], "session_start_at", DAY, "left", occupied=occupied,
         disjoint=policy.identity_intervals == "disjoint",
     ).drop("valid_from", "valid_to")
+
+
+def sessions(events: DataFrame, intervals: DataFrame, policy: Policy) -> DataFrame:
+    """Sessions of devices and their owners."""
+    # Days with events cover the days with session starts, and are cheaper to list.
+    seen = events.select("anon_id", F.col("event_time").alias("session_start_at"))
+    return with_owners(device_sessions(events, policy), intervals, policy, seen)

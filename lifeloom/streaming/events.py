@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import whole_units_between
+from ..operators.sessions import ENTRY_ATTRIBUTES, session_columns, with_owners
 from ..plans.incremental import upsert_events
 from ..policy import Policy
 
@@ -53,7 +53,7 @@ def dedup_stream(staged: DataFrame, policy: Policy) -> DataFrame:
 def session_stream(events: DataFrame, policy: Policy) -> DataFrame:
     """Device sessions, emitted once no earlier event can extend them any more.
 
-    A replayed event counts once, as in the batch rule.
+    The columns are those of the batch rule but for the owner. A replayed event counts once.
 
     The gap is one microsecond short of the next whole second: like the batch rule, a pause
     ends a session only when more than the timeout has passed in whole seconds.
@@ -64,17 +64,33 @@ def session_stream(events: DataFrame, policy: Policy) -> DataFrame:
         .dropDuplicatesWithinWatermark(["event_id"])
         .groupBy("anon_id", F.session_window("event_time", gap))
         .agg(
+            F.min(F.struct("event_time", "event_id", *ENTRY_ATTRIBUTES)).alias("entry"),
             F.min("event_time").alias("session_start_at"),
             F.max("event_time").alias("session_end_at"),
             F.count(F.lit(1)).alias("event_count"),
             F.count_if(F.col("event_type") == "page_view").alias("page_view_count"),
         )
     )
-    return visits.select(
-        "anon_id",
-        "session_start_at",
-        "session_end_at",
-        whole_units_between("SECOND", "session_start_at", "session_end_at").alias("session_duration_seconds"),
-        "event_count",
-        "page_view_count",
-    )
+    return session_columns(visits)
+
+
+def owned_session_stream(
+    events: DataFrame, intervals: Callable[[], DataFrame], path: str, checkpoint: str, policy: Policy
+) -> StreamingQuery:
+    """Write closed device sessions with their device's owner to ``path``, over all data available now.
+
+    ``intervals`` gives the ownership intervals as they are known when a batch of sessions closes;
+    sessions close after the lookback, so logins that arrive within it are counted. Every batch has
+    a folder of its own, which a batch that is run again after a failure replaces.
+    """
+
+    def put(closed: DataFrame, batch: int) -> None:
+        owned = with_owners(closed, intervals(), policy)
+        owned.write.mode("overwrite").parquet(f"{path}/_batch={batch}")
+
+    return drain(session_stream(events, policy), checkpoint, put)
+
+
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """The sessions written by :func:`owned_session_stream`."""
+    return spark.read.option("basePath", path).parquet(f"{path}/_batch=*").drop("_batch")
