@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import billing, engagement, experiments, funnel, growth, health, identity, memberships, sessions
 from ..operators.events import dedup_events
 from ..policy import Policy
-from ..sources.contracts import MARTS, STAGED_EVENTS, assert_schema
+from ..sources.contracts import MARTS, STAGED, STAGED_EVENTS, assert_schema
+from ..sources.files import dim_date
 from ..sources.staging import STAGES
 from ..sources.tables import SharedTables, TableCatalog
-from . import marts
+from . import declared, marts
+from .quality import rules_of
 
 Recipe = Callable[["Build"], DataFrame]
 
@@ -59,6 +62,7 @@ RECIPES: dict[str, Recipe] = {
     "dim_channels": lambda b: marts.dim_channels(b["attribution"], b["spend_prep"]),
     "dim_experiments": lambda b: marts.dim_experiments(b["experiments"]),
     "dim_sessions": lambda b: marts.dim_sessions(b["sessions"]),
+    "dim_date": lambda b: dim_date(b.spark),
     "fct_sessions": lambda b: marts.fct_sessions(b["sessions"]),
     "fct_invoices": lambda b: marts.fct_invoices(b["invoices_prep"]),
     "fct_mrr_movements": lambda b: marts.fct_mrr_movements(b["mrr_movements"]),
@@ -83,11 +87,17 @@ SHARED = (
     "subscription_lifecycle", "attribution", "engagement_states", "experiment_results", "account_health",
 )
 
-# Row order inside the files of a shared table. Most readers want a few event types, and
+# Row order inside the files of a written table. Most readers want a few event types, and
 # can then skip the row groups of all others.
 CLUSTERED_BY = {
     "events_normalized": ("event_type", "event_time"),
     "resolved_events": ("event_type", "event_time"),
+    "fct_sessions": ("session_date_key",),
+    "fct_invoices": ("issued_date_key",),
+    "fct_mrr_movements": ("movement_date_key",),
+    "fct_subscriptions": ("event_date_key",),
+    "fct_feature_usage": ("feature_name", "usage_date_key"),
+    "fct_support_tickets": ("created_date_key",),
 }
 
 
@@ -108,18 +118,35 @@ class Build:
     ) -> None:
         self.raw, self.policy, self.shared = raw, policy, shared
         self._made: dict[str, DataFrame] = {}
+        #: Failures of the row rules of every table that was written, by table and rule.
+        self.observed: dict[str, dict[str, int]] = {}
         if events is not None:
             assert_schema(events, STAGED_EVENTS, "events")
             self._made["events_normalized"] = events
 
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter([*self.raw.values(), *self._made.values()])).sparkSession
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             df = RECIPES[name](self)
+            if name.startswith("stg_"):
+                assert_schema(df, STAGED[name.removeprefix("stg_")], name)
             if self.shared is not None and name in SHARED:
-                df = self.shared.keep(name, df, CLUSTERED_BY.get(name, ()))
+                df = self._observing(name, df, lambda rows: self.shared.keep(name, rows, CLUSTERED_BY.get(name, ())))
             self._made[name] = df
         return self._made[name]
 
+    def _observing(self, name: str, df: DataFrame, put: Callable[[DataFrame], object]):
+        """Write a table with ``put`` and keep the failures of its row rules, counted on the way."""
+        if name not in declared.TABLES:
+            return put(df)
+        passing = declared.counted(name, df, rules_of(name))
+        done = put(passing.rows)
+        self.observed[name] = passing.failures()
+        return done
+
     def compute(self, name: str) -> DataFrame:
         """The table's own plan over its inputs, even when a written copy exists."""
         return RECIPES[name](self)
@@ -129,8 +156,9 @@ class Build:
     ) -> dict[str, str]:
         """Check each mart's contract and replace it in the catalog; returns the paths.
 
-        Contracts are checked before anything is written. ``concurrency`` tables are written
-        at a time, so that the tail of one leaves no executors idle.
+        Contracts are checked before anything is written, row rules while it is (see
+        ``observed``). ``concurrency`` tables are written at a time, so that the tail of one
+        leaves no executors idle.
         """
         tables = {name: self[name] for name in names}
         for name, df in tables.items():
@@ -138,7 +166,14 @@ class Build:
                 assert_schema(df, MARTS[name], name)
 
         def put(name: str) -> str:
-            return catalog.write(name, tables[name], "marts" if name in MART_NAMES else "intermediate")
+            schema = "marts" if name in MART_NAMES else "intermediate"
+            by = CLUSTERED_BY.get(name, ())
+            return self._observing(name, tables[name], lambda rows: catalog.write(name, rows, schema, by))
 
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             return dict(zip(tables, pool.map(put, tables)))
+
+    def publish(self, catalog: TableCatalog, concurrency: int = 8) -> Mapping[str, DataFrame]:
+        """Write all marts; returns the tables of this build with the written marts in place of their plans."""
+        self.write(catalog, MART_NAMES, concurrency)
+        return ChainMap({name: catalog.read(name) for name in MART_NAMES}, self)

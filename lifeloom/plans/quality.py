@@ -13,6 +13,7 @@ from ..functions.columns import shift_time, week_start, whole_units_between
 from ..operators.billing import SUBSCRIPTION_KEY, TRIAL_EVENTS
 from ..operators.timeline import overlapping_intervals
 from ..policy import Policy
+from . import declared
 
 TOLERANCE = 0.01
 
@@ -308,6 +309,11 @@ def row_rule_failures(tables: Mapping[str, DataFrame], names: Sequence[str] = tu
     return failures.withColumn("status", F.when(F.col("failures") > 0, "error").otherwise("pass"))
 
 
+def rules_of(table: str) -> dict[str, str]:
+    """The named row rules of a table."""
+    return {name: rule for name, (t, rule) in ROW_RULES.items() if t == table}
+
+
 def row_rule(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     table, rule = ROW_RULES[name]
     return violating(tables[table], rule)
@@ -374,42 +380,50 @@ def foreign_key(
     return Check(name, orphans, warn_if=0, error_if=10, weight="n_rows")
 
 
-def primary_key_failures(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
-    """Check results for uniqueness and presence of one key per table, both in one pass."""
-    parts = []
-    for table, column in keys.items():
-        counts = tables[table].groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-        missing, n = F.col(column).isNull(), F.col("n_rows")
-        found = counts.agg(
-            F.sum(F.when(~missing & (n > 1), n).otherwise(0)).alias(f"{table}.{column} unique"),
-            F.sum(F.when(missing, n).otherwise(0)).alias(f"{table}.{column} not null"),
-        )
-        parts.append(found.unpivot([], [F.col(f"`{c}`") for c in found.columns], "check_name", "failures"))
-    failures = reduce(DataFrame.unionByName, parts).withColumn("failures", F.coalesce("failures", F.lit(0)))
-    return failures.withColumn("status", F.when(F.col("failures") > 0, "error").otherwise("pass"))
-
-
 def run_checks(checks: Iterable[Check]) -> DataFrame:
     """``check_name``, ``failures`` and ``status`` of every check, as one DataFrame."""
     return reduce(DataFrame.unionByName, [c.result() for c in checks])
 
 
-def gate(tables: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
-    """All results that decide whether a full build may be published."""
+def freshness_failures(tables: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
+    """One row per source: whether it is older than its declared limits."""
+    parts = [
+        freshness(tables[t], policy, warn_hours=warn, error_hours=error).select(
+            F.lit(f"{t} fresh").alias("check_name"), (F.col("status") != "pass").cast("bigint").alias("failures"), "status"
+        )
+        for t, (warn, error) in declared.FRESHNESS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gate(
+    tables: Mapping[str, DataFrame], policy: Policy, observed: Mapping[str, Mapping[str, int]] | None = None
+) -> DataFrame:
+    """All results that decide whether a full build may be published.
+
+    ``observed`` has the row rules' failures that were counted while tables were written
+    (``Build.observed``); other tables are read once for theirs. Best over written tables
+    (``Build.publish``), as every check names the tables anew.
+    """
+    spark = tables["stg_events"].sparkSession
+    rules = {t: rules_of(t) for t in declared.TABLES}
+    failing = F.when(F.col("failures") > 0, "error").otherwise("pass").alias("status")
+    rows = declared.row_failures(spark, tables, observed=observed, rules=rules)
+    exact = rows.unionByName(declared.unique_failures(spark, tables)).select("check_name", "failures", failing)
+    # any orphan row warns, more than ten fail
+    status = F.when(F.col("failures") > 10, "error").when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
+    keys = declared.orphans(spark, tables).select("check_name", "failures", status)
     return (
-        row_rule_failures(tables)
-        .unionByName(primary_key_failures(tables, PRIMARY_KEYS))
+        exact.unionByName(keys)
+        .unionByName(freshness_failures(tables, policy))
         .unionByName(run_checks(standard_checks(tables, policy)))
     )
 
 
 def standard_checks(tables: Mapping[str, DataFrame], policy: Policy) -> list[Check]:
-    """Relationships, intervals, fan-out and reconciliation of a full build."""
+    """Intervals, fan-out and reconciliation of a full build."""
     t = tables
-    checks: list[Check] = []
-    for child, column, parent, parent_column in FOREIGN_KEYS:
-        checks.append(foreign_key(f"{child}.{column} -> {parent}", t[child], column, t[parent], parent_column))
-    checks += [
+    checks = [
         Check("identity overlap", overlaps(t["identity_stitched"], ["anon_id"], policy)),
         Check("membership overlap", overlaps(t["account_memberships"], ["account_id", "user_id"], policy)),
         Check("session overlap", overlaps(t["sessions"], ["anon_id"], policy, "session_start_at", "session_end_at")),
@@ -435,43 +449,3 @@ def standard_checks(tables: Mapping[str, DataFrame], policy: Policy) -> list[Che
     ]
     return checks
 
-
-# Primary and foreign keys of the marts.
-PRIMARY_KEYS = {
-    "dim_users": "user_key",
-    "dim_accounts": "account_key",
-    "dim_channels": "channel_key",
-    "dim_experiments": "experiment_key",
-    "dim_sessions": "session_key",
-    "fct_sessions": "session_key",
-    "fct_invoices": "invoice_key",
-    "fct_mrr_movements": "mrr_movement_key",
-    "fct_subscriptions": "subscription_event_key",
-    "fct_signups": "signup_key",
-    "fct_activations": "activation_key",
-    "fct_retention_cohorts": "retention_cohort_key",
-    "fct_marketing_spend": "spend_key",
-    "fct_feature_usage": "feature_usage_key",
-    "fct_support_tickets": "ticket_key",
-}
-FOREIGN_KEYS = (
-    ("fct_sessions", "user_key", "dim_users", "user_key"),
-    ("fct_sessions", "session_key", "dim_sessions", "session_key"),
-    ("fct_signups", "user_key", "dim_users", "user_key"),
-    ("fct_signups", "channel_key", "dim_channels", "channel_key"),
-    ("fct_activations", "user_key", "dim_users", "user_key"),
-    ("fct_feature_usage", "user_key", "dim_users", "user_key"),
-    ("fct_feature_usage", "account_key", "dim_accounts", "account_key"),
-    ("fct_invoices", "user_key", "dim_users", "user_key"),
-    ("fct_invoices", "account_key", "dim_accounts", "account_key"),
-    ("fct_mrr_movements", "account_key", "dim_accounts", "account_key"),
-    ("fct_subscriptions", "user_key", "dim_users", "user_key"),
-    ("fct_subscriptions", "account_key", "dim_accounts", "account_key"),
-    ("fct_support_tickets", "user_key", "dim_users", "user_key"),
-    ("fct_support_tickets", "account_key", "dim_accounts", "account_key"),
-    ("fct_marketing_spend", "channel_key", "dim_channels", "channel_key"),
-    ("fct_experiment_exposures", "user_key", "dim_users", "user_key"),
-    ("fct_experiment_exposures", "experiment_key", "dim_experiments", "experiment_key"),
-    ("bridge_user_experiments", "user_key", "dim_users", "user_key"),
-    ("bridge_user_experiments", "experiment_key", "dim_experiments", "experiment_key"),
-)

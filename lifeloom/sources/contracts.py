@@ -141,6 +141,32 @@ MARTS = {
         is_resolved boolean""",
 }
 
+# The columns that may be NULL; all others of a contract may not.
+NULLABLE = {
+    "stg_events": """user_id account_id ingest_time plan_context utm_source utm_medium utm_campaign utm_term
+        utm_content device_type browser os user_agent page_url referrer signup_method activation_action
+        time_to_activate_hours feature_name feature_duration_seconds source_page target_plan billing_cycle
+        member_role member_reason experiment_flags""",
+    "stg_subscriptions": "previous_plan cancel_reason is_voluntary",
+    "stg_invoices": "paid_at line_items",
+    "stg_spend": "campaign_name impressions clicks",
+    "stg_tickets": "resolved_at csat_score first_response_seconds",
+    "dim_users": "account_id signup_at activation_at first_touch_channel_key last_touch_channel_key",
+    "dim_accounts": """plan billing_cycle mrr_amount currency user_count health_score activity_score billing_score
+        support_score acquisition_channel_key acquisition_date lifecycle_stage""",
+    "dim_experiments": "end_date description",
+    "dim_sessions": """platform device_type browser utm_source utm_medium utm_campaign session_duration_seconds
+        event_count page_view_count""",
+    "fct_sessions": "user_id user_key page_view_count platform device_type browser utm_source utm_medium utm_campaign",
+    "fct_invoices": "paid_at",
+    "fct_subscriptions": "previous_plan cancel_reason is_voluntary days_since_previous_event",
+    "fct_signups": "platform device_type browser utm_source utm_medium utm_campaign",
+    "fct_marketing_spend": "campaign_name impressions clicks",
+    "fct_experiment_exposures": "conversion_at",
+    "fct_feature_usage": "account_id account_key feature_duration_seconds platform device_type",
+    "fct_support_tickets": "resolved_at csat_score resolution_time_hours first_response_hours",
+}
+
 
 class ContractError(ValueError):
     """A table does not have the columns or types it was promised with."""
@@ -150,6 +176,17 @@ def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(" ".join(ddl.split()))
 
 
+def contract(table: str) -> str:
+    """The contract of a mart or of a staged table (``stg_...``)."""
+    return MARTS[table] if table in MARTS else STAGED[table.removeprefix("stg_")]
+
+
+def required(table: str) -> list[str]:
+    """The columns of a contract that may not be NULL."""
+    optional = NULLABLE.get(table, "").split()
+    return [f.name for f in struct(contract(table)) if f.name not in optional]
+
+
 def contract_problems(df: DataFrame, ddl: str) -> list[str]:
     """Missing, unexpected and wrongly typed columns; empty when the contract holds."""
     want = {f.name: f.dataType for f in struct(ddl)}

@@ -31,10 +31,10 @@ class TableCatalog:
     def path(self, name: str, schema: str | None = "marts") -> str:
         return f"{self.root}/{self.schema_name(schema)}/{name}"
 
-    def write(self, name: str, df: DataFrame, schema: str | None = "marts") -> str:
-        """Replace the whole table."""
+    def write(self, name: str, df: DataFrame, schema: str | None = "marts", cluster_by: Sequence[str] = ()) -> str:
+        """Replace the whole table, rows of each file ordered by ``cluster_by``."""
         path = self.path(name, schema)
-        write_table(df, path)
+        write_table(df.sortWithinPartitions(*cluster_by) if cluster_by else df, path)
         return path
 
     def read(self, name: str, schema: str | None = "marts") -> DataFrame:

@@ -3,6 +3,8 @@
 import glob
 import json
 import os
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lifeloom.functions.keys import date_key, surrogate_key
 from lifeloom.operators.events import dedup_events
-from lifeloom.plans import incremental, metrics, quality
+from lifeloom.plans import declared, incremental, key_index, metrics, quality
 from lifeloom.plans.build import Build
 from lifeloom.sources import contracts, files, staging
 from lifeloom.sources.tables import TableCatalog, shared_folder
@@ -181,6 +183,81 @@ def test_load_that_dies_before_its_end_changes_nothing(spark, make_events, polic
     assert rows(_load(spark, path, make_events({"event_id": "b"}), policy), "event_id") == [("a",), ("b",)]
 
 
+def _files_read(spark, monkeypatch, path, batch, policy):
+    """Folders of the index and of days that one load reads."""
+    seen = {"index": [], "days": []}
+    read_index, read_days, merges = key_index.read, incremental._read, key_index.extended
+
+    def index(spark, paths):
+        seen["index"] += paths
+        return read_index(spark, paths)
+
+    def days(spark, path, folders):
+        seen["days"] += folders
+        return read_days(spark, path, folders)
+
+    with monkeypatch.context() as m:
+        m.setattr(key_index, "read", index)
+        m.setattr(incremental, "_read", days)
+        # merges are paid for over many loads; they are counted by the number of segments
+        m.setattr(key_index, "extended", lambda *a: (m.setattr(key_index, "read", read_index), merges(*a))[1])
+        incremental.upsert_events(spark, path, batch, policy, lookback=False)
+    return seen
+
+
+def test_a_load_reads_its_own_buckets_and_days_however_long_the_history(spark, make_events, policy, tmp_path, monkeypatch):
+    path = str(tmp_path / "events")
+    read, segments = [], []
+    for i in range(9):
+        day = f"2024-01-{i + 1:02d} 10:00:00"
+        batch = make_events(*({"event_id": f"d{i}-{j}", "event_time": day} for j in range(5)), {"event_id": "d0-1", "event_time": day, "_loaded_at": day})
+        seen = _files_read(spark, monkeypatch, path, batch, policy)
+        buckets = {r[0] for r in key_index.entries(batch, "event_id", "event_date").select(key_index.bucket(key_index.BUCKETS)).collect()}
+        index = incremental._manifest(spark, path)["index"]["segments"]
+        assert {int(p.rpartition("=")[2]) for p in seen["index"]} <= buckets
+        # the day on which the replayed event is stored, and the two days just written
+        assert len([d for d in seen["days"] if f"/{i + 1}-" not in f"/{d.split('/')[1]}"]) <= 1 and len(seen["days"]) <= 3
+        segments.append(len(index))
+        read.append(len(seen["index"]))
+    assert max(segments) <= 2 * (key_index.FAN - 1)  # two levels for 4 to 15 loads
+    assert max(read) <= len(buckets) * max(segments)
+    stored = incremental.read_events(spark, path)
+    assert stored.count() == 9 * 5 and rows(stored.filter("event_id = 'd0-1'"), "event_date") == [("2024-01-01",)]
+    incremental.vacuum(spark, path)
+    assert incremental.read_events(spark, path).count() == 9 * 5
+    again = make_events({"event_id": "d3-2", "event_time": "2024-03-01 00:00:00", "_loaded_at": "2024-03-01 00:00:00"})
+    incremental.upsert_events(spark, path, again, policy, "replace")  # found by the index after the vacuum
+    moved = incremental.read_events(spark, path)
+    assert moved.count() == 9 * 5 and rows(moved.filter("event_id = 'd3-2'"), "event_date") == [("2024-03-01",)]
+
+
+def test_an_older_table_gets_its_index_with_the_next_load(spark, make_events, policy, tmp_path):
+    path = str(tmp_path / "events")
+    _load(spark, path, make_events({"event_id": "a", "event_time": "2024-01-01 00:00:00"}, {"event_id": "b"}), policy)
+    before = incremental._manifest(spark, path)
+    del before["index"]
+    incremental._commit(spark, path, before | {"number": 2})
+    moved = make_events({"event_id": "a", "event_time": "2024-01-05 00:00:00", "_loaded_at": "2024-02-01 00:00:00"})
+    got = _load(spark, path, moved, policy, "replace")
+    assert rows(got, "event_id", "event_date") == [("a", "2024-01-05"), ("b", "2024-01-10")]
+    incremental.vacuum(spark, path)
+    assert rows(_load(spark, path, make_events({"event_id": "a"}), policy), "event_id") == [("a",), ("b",)]
+
+
+@pytest.mark.parametrize("conflict", ["earliest", "replace"])
+def test_many_loads_equal_the_rule_applied_to_all_rows(spark, make_events, policy, tmp_path, conflict):
+    """Random replays that may change the day, load after load."""
+    rng, path, stored = random.Random(8), str(tmp_path / "events"), {}
+    for load in range(6):
+        at = f"2024-01-{load + 1:02d}"
+        ids = rng.sample(range(30), 8)
+        batch = {f"e{i}": f"2024-01-{rng.randint(1, 9):02d}" for i in ids}
+        upserted = make_events(*({"event_id": e, "event_time": f"{d} 01:00:00", "_loaded_at": f"{at} 12:00:00"} for e, d in batch.items()))
+        incremental.upsert_events(spark, path, upserted, policy, conflict)
+        stored = stored | batch if conflict == "replace" else batch | stored
+    assert rows(incremental.read_events(spark, path), "event_id", "event_date") == sorted(stored.items())
+
+
 def test_build_reads_the_kept_events(spark, make_events, policy, tmp_path):
     kept = _load(spark, str(tmp_path / "events"), make_events({"event_id": "a"}), policy)
     assert Build({}, policy, events=kept)["events_normalized"].count() == 1
@@ -320,13 +397,65 @@ def test_column_checks(frame):
     assert quality.uncovered(df, parent, "id").count() == 1
 
 
-def test_primary_keys_in_one_pass(frame):
-    t = {"a": frame("k bigint", (1,), (1,), (2,), (None,)), "b": frame("k bigint", (1,)), "c": frame("k bigint")}
-    got = quality.primary_key_failures(t, {"a": "k", "b": "k", "c": "k"})
-    assert rows(got, "check_name", "failures", "status") == [
-        ("a.k not null", 1, "error"), ("a.k unique", 2, "error"), ("b.k not null", 0, "pass"), ("b.k unique", 0, "pass"),
-        ("c.k not null", 0, "pass"), ("c.k unique", 0, "pass"),
-    ]
+def test_keys_of_many_tables_in_one_pass(spark, frame):
+    t = {
+        "a": frame("k bigint, x string, y string", (1, "p", None), (1, None, "p"), (None, "p", None), (None, "q", "r")),
+        "b": frame("k bigint", (1,), (2,)),
+        "c": frame("k bigint").limit(0),
+    }
+    got = declared.unique_failures(spark, t, {"a": ["k", "x, y"], "b": ["k"], "c": ["k"]})
+    # (p, NULL) occurs twice, (NULL, p) is another combination; NULL alone is no key
+    assert rows(got, "check_name", "failures") == [("a.k unique", 2), ("a.x, y unique", 2), ("b.k unique", 0), ("c.k unique", 0)]
+
+
+def test_an_orphan_is_seen_for_every_foreign_key(spark, frame):
+    children, keys = {}, {}
+    for child, pairs in declared.FOREIGN_KEYS.items():
+        columns = [p.partition(":")[0] for p in pairs.split()]
+        keys |= {(child, c): i + 2 for i, c in enumerate(columns)}
+        # key 1 is known; column i has i + 2 orphans, nulls besides, and one row that its condition leaves out
+        ddl = ", ".join(f"{c} bigint" for c in columns) + ", is_period_complete boolean"
+        known = [tuple([1] * len(columns)) + (True,)] * 3 + [tuple([None] * len(columns)) + (True,)]
+        lost = [tuple(999 if j == i else 1 for j in range(len(columns))) + (True,) for i in range(len(columns)) for _ in range(i + 2)]
+        left_out = [(1, 999, False)] if child == "fct_retention_cohorts" else []
+        children[child] = frame(ddl, *known, *lost, *left_out)
+    parents = {p: frame(f"{c} bigint", (1,), (2,)) for p, c in declared.PARENT_KEYS.items()}
+    tables = {t: children[t] if t not in parents else children[t].crossJoin(parents[t]) if t in children else parents[t] for t in {*children, *parents}}
+    # some parents are children as well; each of their rows stands there twice
+    got = {r.check_name: r.failures for r in declared.orphans(spark, tables).collect()}
+    assert len(got) == 37
+    for name, failures in got.items():
+        child, _, column = name.partition(" -> ")[0].partition(".")
+        assert failures == keys[child, column] * (2 if child in parents else 1), name
+
+
+def test_declared_rules_are_complete():
+    """As many as the tables promise, each on a column that exists."""
+    rules = [n for t in declared.TABLES for n in declared.row_checks(t)]
+    kinds = Counter(n.rpartition(" ")[2] if not n.endswith("not null") else "not null" for n in rules)
+    assert kinds == {"not null": 302 - 4, "accepted": 38, "range": 16}
+    assert sum("," in k for keys in declared.UNIQUE.values() for k in keys) == 10
+    assert len(declared.TABLES) == 39 and set(contracts.NULLABLE) <= set(declared.TABLES)
+
+
+def test_rules_counted_while_writing_equal_a_pass_of_their_own(spark, frame, tmp_path):
+    df = frame(
+        "invoice_id string, subscription_id string, user_id string, account_id string, issued_at timestamp, paid_at timestamp, "
+        "_loaded_at timestamp, amount decimal(28,9), currency string, status string, refund_amount decimal(28,9), line_items string",
+        ("i1", "s", None, "a", "2024-01-01 00:00:00", None, None, -1, "USD", "paid", 0, None),
+        ("i2", "s", None, "a", None, None, None, 5, None, "lost", -2, None),
+    )
+    passing = declared.counted("stg_invoices", df, {"odd": "amount > 0"})
+    passing.rows.write.parquet(str(tmp_path / "t"))
+    counts = passing.failures()
+    assert {k: v for k, v in counts.items() if v} == {
+        "stg_invoices.user_id not null": 2, "stg_invoices.issued_at not null": 1, "stg_invoices._loaded_at not null": 2,
+        "stg_invoices.currency not null": 1, "stg_invoices.status accepted": 1, "stg_invoices.amount range": 1,
+        "stg_invoices.refund_amount range": 1, "odd": 1,
+    }
+    read = declared.row_failures(spark, {"stg_invoices": df}, ["stg_invoices"], rules={"stg_invoices": {"odd": "amount > 0"}})
+    told = declared.row_failures(spark, {}, ["stg_invoices"], {"stg_invoices": counts})
+    assert rows(read, "check_name", "failures") == rows(told, "check_name", "failures")
 
 
 def test_table_checks(spark, frame, policy):
