@@ -228,10 +228,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     place = nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "high", "low")
-    texts = docs.join(place.select("doc_id").distinct(), "doc_id", "left_semi")
-    # a doc_id may stand for several texts: the one with the node's set is picked by its hash
+    t, p = docs.alias("t"), place.select("doc_id").distinct().alias("p")
+    texts = t.join(p, F.col("t.doc_id").eqNullSafe(F.col("p.doc_id")), "left_semi")
+    # a doc_id, or none, may stand for several texts: the one with the node's set is picked by its hash
     own = texts.select("doc_id", "text").mapInArrow(named_sets, "doc_id long, high long, low long, shingles array<long>")
-    own = own.join(place, ["doc_id", "high", "low"]).select("node", "shingles").dropDuplicates(["node"])
+    o, p = own.alias("o"), place.alias("p")
+    same = (F.col("o.high") == F.col("p.high")) & (F.col("o.low") == F.col("p.low"))
+    own = o.join(p, same & F.col("o.doc_id").eqNullSafe(F.col("p.doc_id"))).select("p.node", "o.shingles")
+    own = own.dropDuplicates(["node"])
     own = keep(own, "sets")
     a = own.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     b = own.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))

@@ -3,9 +3,10 @@
 Every partition of the input works alone. A document's tokens fill whole windows first; its
 rest goes to the open window where the least room stays free. If it fits in none, the fullest
 open window is closed and a new one opened. The windows still open at the end of a partition
-are small in number (``open_windows`` at most); groups of partitions merge theirs the same way,
-and groups of groups again, until one group is left. No step holds more than ``open_windows``
-windows of tokens or ``open_windows * FAN`` lengths, however large the input.
+are small in number (``open_windows`` at most); groups of partitions merge theirs, settle all but
+the ``open_windows`` emptiest, and hand these on to groups of groups, until one group is left. No
+step holds more than ``open_windows`` windows of tokens or ``open_windows * FAN`` lengths, however
+large the input.
 
 Rules for odd rows: a null text counts as empty and gives one piece, the end token alone;
 repeated rows are packed each; an empty table gives no pieces; other columns are ignored.
@@ -103,37 +104,43 @@ def pieces_of(
     yield batch(done + [r for rows in held.values() for r in rows])
 
 
-def merged(windows: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Windows of one group, largest first, put together where they fit best."""
+def merged(windows: pd.DataFrame, window: int, most: int) -> pd.DataFrame:
+    """Windows of one group, largest first, put together where they fit best; the ``most`` emptiest stay open."""
     windows = windows.sort_values(["used", "window"], ascending=[False, True])
     space = OpenWindows(window, len(windows) + 1, 0)
     names: dict[int, int] = {}
     rows = []
     for name, used in zip(windows["window"], windows["used"], strict=True):
         own, offset, _ = space.place(int(used))
-        rows.append((name, names.setdefault(own, name), offset))
-    return pd.DataFrame(rows, columns=["window", "into", "base"])
+        rows.append((name, own, names.setdefault(own, name), offset))
+    emptiest = {own for _, own in space.rooms[::-1][:most]}
+    done = [(name, into, base, own in emptiest) for name, own, into, base in rows]
+    return pd.DataFrame(done, columns=["window", "into", "base", "open"])
 
 
-def leftovers(open_windows: DataFrame, parts: int, window: int) -> DataFrame:
+def leftovers(open_windows: DataFrame, parts: int, window: int, most: int = OPEN_WINDOWS) -> DataFrame:
     """(window, sequence_id, base) of every window left open by the partitions."""
     now = open_windows.select(
-        "window", F.col("window").alias("into"), F.lit(0).cast("long").alias("base"), "used"
+        "window", F.col("window").alias("into"), F.lit(0).cast("long").alias("base"), "used", F.lit(True).alias("open")
     )
     groups = parts
     while True:
         groups = -(-groups // FAN)
         share = F.shiftright("into", 32) % F.lit(groups)
-        bins = now.groupBy("into").agg(F.max(F.col("base") + F.col("used")).alias("used"))
+        bins = now.filter("open").groupBy("into").agg(F.max(F.col("base") + F.col("used")).alias("used"))
         bins = bins.select(F.col("into").alias("window"), "used", share.alias("share"))
         step = bins.groupBy("share").applyInPandas(
-            lambda pdf: merged(pdf, window), "window long, into long, base long"
+            lambda pdf: merged(pdf, window, most), "window long, into long, base long, open boolean"
         )
         step = step.select(
-            F.col("window").alias("into"), F.col("into").alias("sequence_id"), F.col("base").alias("more")
+            F.col("window").alias("into"), F.col("into").alias("next"), F.col("base").alias("more"), F.col("open").alias("still")
         )
-        now = now.join(step, "into").select(
-            "window", F.col("sequence_id").alias("into"), (F.col("base") + F.col("more")).alias("base"), "used"
+        now = now.join(step, "into", "left").select(
+            "window",
+            F.coalesce("next", "into").alias("into"),
+            (F.col("base") + F.coalesce("more", F.lit(0))).alias("base"),
+            "used",
+            F.coalesce("still", F.lit(False)).alias("open"),
         )
         if groups == 1:
             return now.select("window", F.col("into").alias("sequence_id"), "base")
@@ -165,7 +172,7 @@ def pack(
     parts = (pieces.agg(F.max(F.shiftright("window", 32))).first()[0] or 0) + 1
     left = pieces.filter(~F.col("closed"))
     used = left.groupBy("window").agg(F.sum("length").alias("used"))
-    places = leftovers(used, parts, window)
+    places = leftovers(used, parts, window, open_windows)
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     settled = pieces.filter("closed").withColumnRenamed("window", "sequence_id").select(*out)
     moved = left.join(places, "window").withColumn("offset", F.col("offset") + F.col("base")).select(*out)

@@ -10,8 +10,9 @@ together needs a shuffle.
 Rules for odd rows: a null role or text counts as empty; turns are ordered by turn, role and
 text, those without a number first, and repeated turns stay; if one side is the beginning of
 the other, its completion is empty, and both are if the two are equal; a null or empty
-conversation has no turns; text that looks like a mark is kept apart from marks by a space; an
-empty table gives no rows.
+conversation has no turns, and a null turn is an empty one; text that looks like a mark is kept
+apart from marks by a space; texts of any length are rendered whole; other columns are ignored;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -84,7 +85,8 @@ def preference_pairs(pairs: DataFrame) -> DataFrame:
     """
     kind = "array<struct<role:string,text:string>>"
     rows = columns(pairs, "pair_id", "chosen", "rejected")
-    sides = {s: F.coalesce(F.col(s).cast(kind), F.array().cast(kind)) for s in ("chosen", "rejected")}
+    tidy = lambda t: F.struct(clean(t["role"]).alias("role"), clean(t["text"]).alias("text"))
+    sides = {s: F.transform(F.coalesce(F.col(s).cast(kind), F.array().cast(kind)), tidy) for s in ("chosen", "rejected")}
     rows = rows.select("pair_id", *(v.alias(k) for k, v in sides.items()))
     rows = rows.withColumn("prompt_turns", common_turns(F.col("chosen"), F.col("rejected")))
     rest = {s: F.slice(s, F.col("prompt_turns") + 1, F.size(s) + 1) for s in sides}

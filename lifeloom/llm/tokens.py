@@ -7,6 +7,8 @@ other characters, so a text may be cut there and each part looked up among those
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 from array import array
 
@@ -16,23 +18,33 @@ _ODD = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Text and id of the tokens that a tokenizer file adds to its vocabulary; none without such a file."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 class TokenBytes(dict):
     """Text to the little-endian 32-bit ids of its tokens; a dict of the parts seen so far.
 
-    The cache is bounded: beyond ``MOST`` parts it starts anew.
+    Added tokens of the vocabulary (such as an end mark) that a text spells out are single ids, as in
+    the tokenizer file; with ``plain`` they are text like any other. The cache is bounded: beyond
+    ``MOST`` parts it starts anew.
     """
 
     MOST = 600_000
-    _loaded: dict[str | None, TokenBytes] = {}
+    _loaded: dict[tuple[str | None, bool], TokenBytes] = {}
 
     @classmethod
-    def load(cls, path: str | None = None) -> TokenBytes:
-        """One instance for each vocabulary file (``.tiktoken`` ranks or ``.json``) and process."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+    def load(cls, path: str | None = None, plain: bool = False) -> TokenBytes:
+        """One instance for each vocabulary file (``.tiktoken`` ranks or ``.json``), reading and process."""
+        if (path, plain) not in cls._loaded:
+            cls._loaded[path, plain] = cls(path, plain)
+        return cls._loaded[path, plain]
 
-    def __init__(self, path: str | None) -> None:
+    def __init__(self, path: str | None, plain: bool = False) -> None:
         super().__init__()
         import public_tokenizers
 
@@ -41,16 +53,18 @@ class TokenBytes(dict):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = plain
             self.ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
         else:
             import tiktoken
 
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.ids = tiktoken.Encoding(
-                "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-            ).encode_ordinary
+            added = added_tokens(path.removesuffix(".tiktoken") + ".json")
+            encoding = tiktoken.Encoding(
+                "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
+            )
+            self.ids = encoding.encode_ordinary if plain else lambda t: encoding.encode(t, allowed_special="all")
         self.line_break = self.ids("\n")[0]
 
     def __missing__(self, part: str) -> bytes:
