@@ -3,18 +3,23 @@
 A document is the set of its five-word shingles (64-bit hashes). Two documents link when their
 sets' similarity is at least ``PERCENT`` / 100; the result is the components of these links.
 
-* **Candidates.** All sets list their members in one order: rare ones first, the common ones (at
-  most ``COMMON``, counted over all documents) last, the commonest at the end. Similar sets share
-  a member among the first ``n - ceil(0.8 n) + 1`` of each, so only these are indexed. Any order
-  gives the same result; this one keeps passages that many documents share out of the index.
+* **Candidates.** All sets list their members in one order, rare ones first. Similar sets share a
+  member among the first ``n - ceil(0.8 n) + 1`` of each, so only these are index keys. Any order that
+  is the same for all gives the same result. This one counts in how many sets a member occurs,
+  exactly, for members in the lowest ``LOW`` of hash values, and takes them by that count; then come
+  the other members, and last the commonest ones, of which a list of at most ``COMMON`` is known
+  from counts over all documents. Hence passages that many documents share are hardly ever keys,
+  keys that only one set has are dropped, and what is counted has no very frequent value left in it.
 * **Stars.** Of an index key's documents each is first compared with the smallest one, so a
   group of thousands of near copies takes one comparison per document and key.
 * **Tiles.** Keys whose documents are then in more than one component are compared within size
   bands. Sets of similarity 0.8 differ in size by a quarter at most and bands grow by a quarter, so
   a link joins equal or adjacent bands. A band is dealt into blocks of ``BLOCK`` documents and
   tiles are pairs of blocks of (adjacent) bands: a key of any size becomes many tasks of bounded
-  size, and only documents of different components are compared.
-* **Bitmaps.** A set is hashed to a bitmap of two to four bits a member. Every bit in which two
+  size, and only documents of different components are compared. A first round hands on the
+  ``FIRST`` most promising pairs of two components in a tile, as one link is enough to join them;
+  a second one takes the tiles where this left pairs out and compares all pairs of what is still apart.
+* **Bitmaps.** A set is hashed to a bitmap of four to eight bits a member. Every bit in which two
   bitmaps differ stands for at least one member that only one set has, so the count of such
   bits bounds the overlap from above: (a + b - bits) / 2. Bitmaps of different lengths are
   folded to the shorter one. Pairs that this bound can't exclude are intersected exactly as
@@ -45,11 +50,19 @@ from lifeloom.llm.tables import columns, discard, keep
 from lifeloom.llm.words import U, mixed
 
 PERCENT = 80
-#: The list of common shingles has at most this many entries, by the share that each must have.
-COMMON = 1 << 20
+#: The list of common shingles has at most this many entries, by the share that each must have;
+#: what occurs less than ``OFTEN`` times is never common.
+COMMON, OFTEN = 1 << 20, 1000
+#: Members whose hash is below this share of all hashes are counted. It exceeds the fifth of a set
+#: that is indexed; where too many of these are common, uncounted members follow.
+LOW = 0.3
 BLOCK = 2000
+#: Pairs of two components that a tile hands on in the first round.
+FIRST = 4
+#: Pairs that a tile holds before it thins them out or hands them on.
+HELD = 1 << 17
 
-SKETCH = "at long, doc_id long, text_hash long, n long, high long, low long, keys array<long>, bits binary"
+SKETCH = "at long, doc_id long, text_hash long, n long, high long, low long, tokens array<long>, extra array<long>, bits binary"
 SETS = "doc_id long, text_hash long, high long, low long, shingles array<long>"
 
 
@@ -87,7 +100,7 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         "often",
     )
     size = counts.filter("is_size").agg(F.sum("n")).first()[0] or 0
-    least = max(3, -(-size // COMMON))
+    least = max(OFTEN, -(-size // COMMON))
     found = counts.filter(~F.col("is_size") & (F.col("n") >= least)).orderBy("n", "shingle").select("shingle").toArrow()
     discard(counts)
     shingles = found.column(0).to_numpy().view(U)
@@ -104,25 +117,47 @@ def ranks(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.nda
     return np.where(values[at] == shingles, rank[at], 0)
 
 
-def indexed(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The set's first members in the common order, of which similar sets share one."""
-    n = len(shingles)
-    length = n - -(-PERCENT * n // 100) + 1
+def index_length(n: int) -> int:
+    """How many first members two similar sets have one in common of."""
+    return n - -(-PERCENT * n // 100) + 1
+
+
+def indexed(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The set's members that are to be counted, and those that follow them within the index length."""
     rank = ranks(shingles, common)
     rare = shingles[rank == 0]
-    if len(rare) >= length:
-        return rare[:length]
-    rest = rank > 0
-    late = shingles[rest][np.argsort(rank[rest])]
-    return np.concatenate([rare, late[: length - len(rare)]])
+    cut = int(np.searchsorted(rare, U(int(LOW * 2**64))))
+    tokens, more = rare[:cut], index_length(len(shingles)) - cut
+    if more <= 0:
+        return tokens, rare[:0]
+    late = shingles[rank > 0][np.argsort(rank[rank > 0])]
+    return tokens, np.concatenate([rare[cut:], late])[:more]
+
+
+def index_keys(nodes: DataFrame) -> DataFrame:
+    """node and key: the first members of each set, without those that no other set has.
+
+    A counted member goes to one task with all its sets; it has less than one in ``COMMON`` of all
+    members, else it would be in the list of common ones.
+    """
+    counted = nodes.select("node", "size", F.size("tokens").alias("counted"), F.explode("tokens").alias("key"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    shared = counted.withColumn("n", n).filter("n > 1")
+    # sets are ordered by (n, key); those of n = 1 come first and were dropped
+    by_set = Window.partitionBy("node")
+    first = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
+    alone = F.col("counted") - F.count(F.lit(1)).over(by_set)
+    place = F.row_number().over(by_set.orderBy("n", "key")) + alone
+    kept = shared.withColumn("first", first).withColumn("place", place).filter("place <= first").select("node", "key")
+    return kept.unionByName(nodes.select("node", F.explode("extra").alias("key")))
 
 
 # --- bitmaps ----------------------------------------------------------------------------------
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Two to four bits a member, 64 at least; the length is a power of two."""
-    size = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    """Four to eight bits a member, 64 at least; the length is a power of two."""
+    size = max(64, 1 << (4 * len(shingles) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(mixed(shingles) & U(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -155,9 +190,11 @@ class Block:
             joined = b"".join(bits[i] for i in rows.tolist())
             self.parts.append((rows, np.frombuffer(joined, U).reshape(len(rows), words)))
 
-    def against(self, other: Block) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Pairs of different components that the bitmaps can't exclude, each once within a block."""
-        out_a, out_b = [], []
+    def against(self, other: Block) -> Iterator[np.ndarray]:
+        """Pairs of different components that the bitmaps can't exclude, each once within a block.
+
+        Each array has rows a, b, their components (smaller one first) and the differing share in millionths.
+        """
         for rows, own in self.parts:
             for those, theirs in other.parts:
                 words = min(own.shape[1], theirs.shape[1])
@@ -170,10 +207,11 @@ class Block:
                     at = np.flatnonzero(apart)
                     if len(at):
                         differing = np.bitwise_count(yours[at] ^ bits).sum(axis=1, dtype=np.int64)
-                        at = at[possible(self.size[r], size[at], differing)]
-                        out_a.append(np.full(len(at), self.node[r]))
-                        out_b.append(node[at])
-        return out_a, out_b
+                        good = possible(self.size[r], size[at], differing)
+                        at, differing = at[good], differing[good]
+                        both = component[at], np.full(len(at), self.component[r])
+                        share = 1_000_000 * differing // (self.size[r] + size[at])
+                        yield np.array([np.full(len(at), self.node[r]), node[at], np.minimum(*both), np.maximum(*both), share])
 
 
 def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,52 +229,92 @@ def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select([0, 1]).filter(pa.array(possible(size_a, size_b, differing)))
 
 
-def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each tile; rows come sorted by tile, two blocks at most to one."""
-    rest: pa.Table | None = None
-    tile = ["key", "band_a", "band_b", "i", "j"]
+def most_promising(pairs: np.ndarray, most: int) -> np.ndarray:
+    """Of each two components (rows 2 and 3) the ``most`` pairs with the smallest share of differing bits."""
+    order = np.lexsort((pairs[4], pairs[3], pairs[2]))
+    pairs = pairs[:, order]
+    new = np.ones(pairs.shape[1], bool)
+    new[1:] = (pairs[2:4, 1:] != pairs[2:4, :-1]).any(axis=0)
+    place = np.arange(pairs.shape[1])
+    return pairs[:, place - np.maximum.accumulate(np.where(new, place, 0)) < most]
+
+
+def thinned(pairs: list[np.ndarray], most: int | None) -> np.ndarray:
+    together = np.concatenate(pairs, axis=1)
+    return together if most is None else most_promising(together, most)
+
+
+def tiles(most: int | None):
+    """Pairs (a, b) of each tile, of two components the ``most`` best; rows come sorted by tile, two blocks at most to one.
+
+    A tile that leaves pairs out says so by a row with its key and no pair.
+    """
+    tile, held = ["key", "band_a", "band_b", "i", "j"], HELD
 
     def side(t: pa.Table) -> Block:
         node, component, size = (t.column(c).to_numpy() for c in ("node", "component", "size"))
         return Block(node, component, size, t.column("bits").to_pylist())
 
-    def pairs(t: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        left = t.column("is_left").to_numpy(zero_copy_only=False)
+    def compared(part: pa.Table, mask: np.ndarray, alone: bool) -> Iterator[np.ndarray]:
+        if mask.all():
+            one = side(part)
+            yield from one.against(one) if alone else ()
+        elif mask.any():
+            yield from side(part.filter(pa.array(mask))).against(side(part.filter(pa.array(~mask))))
+
+    def handed(pairs: list[np.ndarray], cut: list[int]) -> pa.RecordBatch:
+        found = np.concatenate([np.zeros((5, 0), np.int64), *pairs], axis=1)
+        both = np.unique(np.sort(found[:2], axis=0), axis=1)
+        a, b = (pa.concat_arrays([pa.array(x), pa.nulls(len(cut), pa.int64())]) for x in both[::-1])
+        key = pa.concat_arrays([pa.nulls(both.shape[1], pa.int64()), pa.array(cut, pa.int64())])
+        return pa.RecordBatch.from_arrays([a, b, key], ["a", "b", "key"])
+
+    def pairs(t: pa.Table, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        out: list[np.ndarray] = []
+        cut: list[int] = []
+        left, alone, keys = (t.column(c).to_numpy(zero_copy_only=False) for c in ("is_left", "alone", "key"))
         at = 0
         for end in ends.tolist():
-            mask = left[at:end]
-            part = t.slice(at, end - at)
-            if mask.all():
-                one = side(part)
-                found = one.against(one) if part.column("alone")[0].as_py() else ([], [])
-            elif not mask.any():
-                found = ([], [])
-            else:
-                found = side(part.filter(pa.array(mask))).against(side(part.filter(pa.array(~mask))))
-            a += found[0]
-            b += found[1]
+            own: list[np.ndarray] = []
+            before = after = waiting = 0
+            for found in compared(t.slice(at, end - at), left[at:end], alone[at]):
+                own.append(found)
+                before, waiting = before + found.shape[1], waiting + found.shape[1]
+                if waiting > held:
+                    own, waiting = [thinned(own, most)], 0
+                    if most is None:
+                        yield handed(own, [])
+                        own = []
+            if own:
+                own = [thinned(own, most)]
+                after = own[0].shape[1]
+            if most is not None and after < before:
+                cut.append(int(keys[at]))
+            out += own
             at = end
-        both = np.unique(np.sort(np.array([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[1]), pa.array(both[0])], ["a", "b"])
+        yield handed(out, cut)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = (pa.concat_tables([rest, table]) if rest is not None else table).combine_chunks()
-        change = np.zeros(len(table), bool)
-        for c in tile:
-            x = table.column(c).to_numpy()
-            change[1:] |= x[1:] != x[:-1]
-        ends = np.flatnonzero(change)
-        if len(ends):
-            yield pairs(table, ends)
-            rest = table.slice(int(ends[-1]))
-        else:
-            rest = table
-    if rest is not None:
-        yield pairs(rest, np.array([len(rest)]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = (pa.concat_tables([rest, table]) if rest is not None else table).combine_chunks()
+            change = np.zeros(len(table), bool)
+            for c in tile:
+                x = table.column(c).to_numpy()
+                change[1:] |= x[1:] != x[:-1]
+            ends = np.flatnonzero(change)
+            if len(ends):
+                yield from pairs(table, ends)
+                rest = table.slice(int(ends[-1]))
+            else:
+                rest = table
+        if rest is not None:
+            yield from pairs(rest, np.array([len(rest)]))
+
+    return run
 
 
 # --- sketches and exact sets ------------------------------------------------------------------
@@ -252,12 +330,13 @@ def digests(shingles: np.ndarray) -> tuple[int, int]:
 def sketches(common: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, high, low, keys, bits = [], [], [], [], []
+            n, high, low, tokens, extra, bits = [], [], [], [], [], []
             for s in shingle_sets(b.column(3)):
                 n.append(len(s))
                 names = digests(s) if len(s) else (None, None)
                 high.append(names[0]), low.append(names[1])
-                keys.append(indexed(s, common.value).view(np.int64) if len(s) else None)
+                first = indexed(s, common.value) if len(s) else (s, s)
+                tokens.append(first[0].view(np.int64)), extra.append(first[1].view(np.int64))
                 bits.append(bitmap(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -265,10 +344,11 @@ def sketches(common: Broadcast):
                     pa.array(n, pa.int64()),
                     pa.array(high, pa.int64()),
                     pa.array(low, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(tokens, pa.list_(pa.int64())),
+                    pa.array(extra, pa.list_(pa.int64())),
                     pa.array(bits, pa.binary()),
                 ],
-                ["at", "doc_id", "text_hash", "n", "high", "low", "keys", "bits"],
+                ["at", "doc_id", "text_hash", "n", "high", "low", "tokens", "extra", "bits"],
             )
 
     return run
@@ -341,8 +421,12 @@ def unsettled(member: DataFrame, components: DataFrame) -> DataFrame:
     return now.join(ends.filter("x <> y").select("key"), "key", "left_semi")
 
 
-def tiled(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of documents of different components that share a key."""
+def tiled(left: DataFrame, nodes: DataFrame, most: int | None) -> DataFrame:
+    """Candidate pairs (a, b) of documents of different components that share a key.
+
+    Of two components a tile gives ``most`` pairs, or all of them. Rows with ``key`` and no pair name
+    the keys in which pairs were left out.
+    """
     largest = nodes.agg(F.max("size")).first()[0] or 1
     edges = F.lit(bands(largest)).cast("array<long>")
     # the last band that begins at or below the size
@@ -375,7 +459,7 @@ def tiled(left: DataFrame, nodes: DataFrame) -> DataFrame:
     dealt = rows.select("key", "node", "component", F.inline(F.concat(same, up, down)))
     dealt = dealt.join(nodes.select("node", "size", "bits"), "node")
     dealt = dealt.repartition("key", "band_a", "band_b", "i", "j").sortWithinPartitions("key", "band_a", "band_b", "i", "j")
-    return dealt.mapInArrow(tiles, "a long, b long").distinct()
+    return dealt.mapInArrow(tiles(most), "a long, b long, key long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -390,13 +474,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # one node per distinct set, numbered by its first row
     nodes = sketch.filter("n > 0").groupBy("high", "low")
     first = F.min(F.struct("at", "doc_id", "text_hash", "n"))
-    nodes = nodes.agg(first.alias("r"), F.any_value("keys").alias("keys"), F.any_value("bits").alias("bits"))
-    nodes = nodes.select("high", "low", F.col("r.at").alias("node"), "r.doc_id", "r.text_hash", F.col("r.n").alias("size"), "keys", "bits")
-    nodes = keep(nodes, "nodes")
+    nodes = nodes.agg(first.alias("r"), *(F.any_value(c).alias(c) for c in ("tokens", "extra", "bits")))
+    place = [F.col("r.at").alias("node"), "r.doc_id", "r.text_hash", F.col("r.n").alias("size")]
+    nodes = keep(nodes.select("high", "low", *place, "tokens", "extra", "bits"), "nodes")
+    of_row = keep(sketch.select("doc_id", "n", "high", "low"), "rows")
+    discard(sketch)
 
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    keyed = keep(index_keys(nodes), "keys")
     stars = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     member = keep(keyed.join(stars, "key"), "members")
+    discard(keyed)
     sizes = nodes.select("node", "size", "bits")
     star = member.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     star = (
@@ -406,15 +493,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .mapInArrow(paired, "a long, b long")
     )
     linked = keep(confirmed(keep(star, "pairs"), rows, nodes), "links")
+    final = connected(linked)
 
     # in a key of two documents the star was the whole comparison
-    left = unsettled(member.filter("n > 2").select("key", "node"), connected(linked))
-    more = keep(tiled(left, nodes), "pairs")
-    final = connected(linked.unionByName(confirmed(more, rows, nodes)))
+    left = member.filter("n > 2").select("key", "node")
+    for most in (FIRST, None):
+        left = unsettled(left.select("key", "node"), final)
+        more = keep(tiled(left, nodes, most), "pairs")
+        left = left.join(more.filter("key is not null").select("key").distinct(), "key", "left_semi")
+        pairs = more.filter("key is null").select("a", "b")
+        linked = keep(linked.unionByName(confirmed(pairs, rows, nodes)), "links")
+        final = connected(linked)
 
     of_node = nodes.select("node", "high", "low").join(final, "node", "left")
     of_node = of_node.select("high", "low", F.coalesce("component", "node").alias("component"))
-    of_row = sketch.select("doc_id", "n", "high", "low").join(of_node, ["high", "low"], "left")
+    of_row = of_row.join(of_node, ["high", "low"], "left")
     named = of_row.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("name"))
     out = of_row.join(named, "component", "left")
     component = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id"))

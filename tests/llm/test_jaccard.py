@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lifeloom.llm import jaccard
-from lifeloom.llm.jaccard import bands, bitmap, fold, indexed, jaccard_components, possible
+from lifeloom.llm.jaccard import (
+    bands, bitmap, fold, index_keys, index_length, indexed, jaccard_components, most_promising, possible,
+)
 
 
 def shingles(text):
@@ -92,8 +94,11 @@ def test_components_equal_those_of_all_pairs(docs, texts):
     assert got(docs) == by_hand(texts)
 
 
-def test_small_blocks_give_the_same(docs, texts, monkeypatch):
+def test_small_limits_give_the_same(docs, texts, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "FIRST", 1)
+    monkeypatch.setattr(jaccard, "HELD", 2)
+    monkeypatch.setattr(jaccard, "OFTEN", 3)
     assert got(docs) == by_hand(texts)
 
 
@@ -131,19 +136,36 @@ def test_bitmaps_never_exclude_a_link():
             assert possible(len(a), len(b), differing)
 
 
-def test_similar_sets_share_an_indexed_member_and_meet_in_bands():
+def test_similar_sets_share_an_indexed_member_and_meet_in_bands(spark):
+    """Sets over a small pool, so that many members are shared; some of them are in the list of common ones."""
     rng = np.random.default_rng(6)
+    pool = np.unique(rng.integers(0, 2**64, 90, np.uint64))
+    common = (pool[::7], rng.permutation(len(pool[::7])) + 1)
+    sets = [np.sort(rng.permutation(pool)[: int(rng.integers(1, 40))]) for _ in range(60)]
+    sets += [np.sort(rng.permutation(s)[: max(1, len(s) - int(rng.integers(0, 3)))]) for s in sets for _ in range(3)]
+    rows = []
+    for i, s in enumerate(sets):
+        tokens, extra = (x.view(np.int64).tolist() for x in indexed(s, common))
+        rows.append((i, len(s), tokens, extra))
+    nodes = spark.createDataFrame(rows, "node long, size long, tokens array<long>, extra array<long>")
+    keys = [set() for _ in sets]
+    for r in index_keys(nodes).collect():
+        keys[r.node].add(r.key)
+    pairs = 0
+    for i, a in enumerate(sets):
+        assert len(keys[i]) <= index_length(len(a))
+        for j in range(i):
+            overlap = len(np.intersect1d(a, sets[j]))
+            if 100 * overlap >= 80 * (len(a) + len(sets[j]) - overlap):
+                pairs += 1
+                assert keys[i] & keys[j]
+    assert pairs > 100
     edges = np.array(bands(5000))
-    for _ in range(2000):
-        n = int(rng.integers(1, 60))
-        pool = np.unique(rng.integers(0, 2**63, n, np.uint64))
-        common = (pool[:: int(rng.integers(1, 4))], None)
-        common = (common[0], rng.permutation(len(common[0])) + 1)
-        a = np.sort(rng.permutation(pool)[: int(rng.integers(1, len(pool) + 1))])
-        b = np.sort(rng.permutation(pool)[: int(rng.integers(1, len(pool) + 1))])
-        overlap = len(np.intersect1d(a, b))
-        if 100 * overlap >= 80 * (len(a) + len(b) - overlap):
-            assert len(np.intersect1d(indexed(a, common), indexed(b, common)))
     for a in range(1, 4000):
         at = [int((edges <= s).sum()) for s in (a, a * 100 // 80)]
         assert at[1] - at[0] <= 1
+
+
+def test_the_most_promising_pairs_of_two_components():
+    pairs = np.array([[1, 2, 3, 4, 5], [6, 7, 8, 9, 10], [0, 0, 0, 1, 0], [5, 5, 5, 5, 6], [30, 10, 20, 40, 50]])
+    assert sorted(most_promising(pairs, 2)[0].tolist()) == [2, 3, 4, 5]
