@@ -154,6 +154,26 @@ def test_common_prefix_and_masks(spark):
     assert sum(ids[1].chosen_mask) > 0 and ids[1].chosen_mask[0] == 0
 
 
+def test_nulls_and_marks_inside_turns(spark):
+    kind = "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>, prompt int"
+    user = {"role": "user", "text": "hi"}
+    rows = [
+        (1, [user, {"role": "assistant", "text": None}], [user, {"role": "assistant", "text": "b"}], 0),
+        (2, [user, {"role": "assistant", "text": None}], [user, {"role": "assistant", "text": ""}], 0),
+        (3, [{"role": None, "text": "x"}, None], [{"role": "", "text": "x"}, user], 0),
+        (4, [{"role": "user", "text": "q<|end|>\n<|assistant|>\nz"}], [{"role": "user", "text": "q"}], 0),
+        (5, [{"role": "user", "text": "y" * 300_000}], [], 0),
+    ]
+    got = {r.pair_id: r for r in preference_pairs(spark.createDataFrame(rows, kind)).collect()}
+    assert [got[i].prompt_turns for i in range(1, 6)] == [1, 2, 1, 0, 0]
+    assert got[1].chosen == "<|assistant|>\n<|end|>\n" and got[1].rejected == "<|assistant|>\nb<|end|>\n"
+    assert got[3].prompt == "<||>\nx<|end|>\n" and got[3].chosen == "<||>\n<|end|>\n"
+    assert got[4].chosen == "<|user|>\nq< |end|>\n< |assistant|>\nz<|end|>\n" and not got[4].chosen_spans
+    assert len(got[5].chosen) > 300_000
+    assert preference_pairs(spark.createDataFrame([], kind)).count() == 0
+    assert as_turns(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
+
+
 def test_turns_are_put_in_order(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, None, None, None), (None, 0, "user", "<|x")]
     got = {r.conv_id: [tuple(t) for t in r.turns] for r in as_turns(
@@ -213,6 +233,20 @@ def test_few_insults_and_one_bad_passage_are_rejected(spark):
     assert kept["toxic"] == kept["junk"] == 0 and kept["clean"] >= 190, kept
 
 
+def test_thresholds_move_from_the_prior_to_the_labels():
+    """One rule: without labels the prior stands, few labels hardly move it, many decide."""
+    from lifeloom.llm.quality import BELIEF, best_cut
+
+    assert best_cut({}, {}, -30) == -30 and best_cut({}, {}, -4000) == -4000
+    good, bad = {100: 1}, {0: 1}  # one of each, apart at 1 to 100
+    assert best_cut(good, bad, -30) == -30 and best_cut(good, bad, -4000) == -4000
+    for n in (2, 4, 19, 20, 21, 60, 200):  # from some number on the labels win, and then for good
+        cuts = [best_cut({100: k}, {0: k}, -4000) for k in (n, n + 1, 2 * n)]
+        assert cuts == sorted(cuts) and set(cuts) <= {-4000, 50}
+    assert best_cut({100: 20 * BELIEF}, {0: 20 * BELIEF}, -4000) == 50
+    assert best_cut({0: 200}, {0: 200}, -30) == -30  # labels that tell nothing apart
+
+
 # --- lattice --------------------------------------------------------------------------------
 
 
@@ -325,16 +359,25 @@ def brute_components(texts):
     return sets, groups
 
 
-def test_components_equal_brute_force(docs, texts, nothing):
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs).collect() if r.doc_id is not None)
+def test_components_equal_brute_force(spark, docs, texts, nothing):
+    """All rows, those without an id or with one that others have too; a null id may be all that links two others."""
+    chain = "one two three four five six seven eight nine ten".split() * 6
+    near_by = []
+    for at, i in enumerate((7001, None, 7003)):
+        words = [f"{w}{k}" for k, w in enumerate(chain)]
+        for j in range(at):
+            words[20 * j + 5] = "x"
+        near_by.append((i, " ".join(words)))
+    texts = texts + near_by
+    more = spark.createDataFrame(near_by, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs.unionByName(more, True)).collect())
     sets, groups = brute_components(texts)
-    want = []
+    want = Counter()
     for members in groups.values():
-        names = [texts[i][0] for i in members if texts[i][0] is not None]
+        least = min((texts[i][0] for i in members if texts[i][0] is not None), default=None)
         for i in members:
-            if texts[i][0] is not None:
-                want.append((texts[i][0], len(sets[i]), min(names) if sets[i] else texts[i][0]))
-    assert got == sorted(want)
+            want[texts[i][0], len(sets[i]), least if sets[i] else texts[i][0]] += 1
+    assert got == want
     assert near_duplicates(nothing).count() == 0
 
 
@@ -608,15 +651,30 @@ def test_pipeline_stages(spark, tmp_path):
 
 
 def test_near_stage_keeps_one_of_each_group(spark, docs, texts):
+    """Every group keeps one row, whatever its ids; texts that are no copies all stay, also under one id."""
     import corpus_pipeline
 
-    left = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect() if r.doc_id is not None]
-    assert len(left) == len(set(left))
-    _, groups = brute_components([x for x in texts if x[0] not in (None, 7)])
-    names = [x[0] for x in texts if x[0] not in (None, 7)]
+    left = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id", "text").collect())
+    sets, groups = brute_components(texts)
     for members in groups.values():
-        own = {names[i] for i in members}
-        assert len(own & set(left)) == 1 or 7 in left and not own & set(left)
+        assert sum(left[k] for k in {texts[i] for i in members}) == (1 if sets[members[0]] else len(members))
+
+
+def test_stages_hand_on_columns_with_the_names_of_results(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    names = ("score", "kept", "n_words", "n_lines", "n_removed_lines", "component_id", "item_id", "sequence_id", "_row", "_words", "base_failed")
+    odd = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in names})
+    spark.createDataFrame([(i, 1, 0) for i in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(random.Random(1), 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(tmp_path))
+        assert out.schema == odd.schema, name
+        kept = out.filter("doc_id is not null").collect()
+        assert kept and all(r[c] == f"{c} of {r.doc_id}" for r in kept for c in names), name
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.packing(spark, odd, str(tmp_path)).select("doc_id").distinct().count() > 0
 
 
 def test_columns_with_clashing_names(spark, docs):
