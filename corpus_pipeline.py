@@ -22,36 +22,54 @@ from lifeloom.llm.tables import keep, read
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*(F.col(f"`{c}`") for c in like.columns))
+def kept_by(stage: Callable[[DataFrame], DataFrame], docs: DataFrame) -> DataFrame:
+    """The documents that a stage keeps, with all their columns.
+
+    Within the stage all columns but doc_id and text have names of their own, so that none is
+    taken for one of the stage's; the stage may change the text.
+    """
+    names = {c: c if c in ("doc_id", "text") else f"_given_{i}" for i, c in enumerate(docs.columns)}
+    done = stage(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())))
+    return done.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the surface rules or the likelihood ratio go."""
-    judged = quality(docs, read(spark, sf_dir, "labels"))
-    return same_columns(judged.filter("kept"), docs)
+    return kept_by(lambda d: quality(d, read(spark, sf_dir, "labels")).filter("kept"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go, and documents of which nothing else is left."""
-    cleaned = dedup_lines(docs)
-    cleaned = cleaned.filter("n_removed_lines = 0 or n_removed_lines < n_lines")
-    if "n_chars" in docs.columns:
-        n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, n_chars).otherwise(F.col("n_chars")))
-    return same_columns(cleaned, docs)
+    """Repeated lines go, and documents of which nothing else is left; n_chars follows the text."""
+
+    def stage(d: DataFrame) -> DataFrame:
+        cleaned = dedup_lines(d)
+        cleaned = cleaned.filter("n_removed_lines = 0 or n_removed_lines < n_lines")
+        if "n_chars" in docs.columns:
+            own = f"_given_{docs.columns.index('n_chars')}"
+            n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+            cleaned = cleaned.withColumn(own, F.when(F.col("n_removed_lines") > 0, n_chars).otherwise(F.col(own)))
+        return cleaned
+
+    return kept_by(stage, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays; rows without doc_id all stay."""
-    best = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(best, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return same_columns(named, docs).unionByName(docs.filter("doc_id is null"))
+    """One document of each group of near duplicates stays.
+
+    Rows are numbered, so null and repeated doc_ids neither lose nor join anything.
+    """
+
+    def stage(d: DataFrame) -> DataFrame:
+        rows = keep(d.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        groups = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+        return rows.join(groups.filter("kept").select(F.col("doc_id").alias("_row")), "_row", "left_semi")
+
+    return kept_by(stage, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item's question and answer go."""
-    return without_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return kept_by(lambda d: without_leaks(d, read(spark, sf_dir, "benchmark")), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
