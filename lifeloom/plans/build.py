@@ -87,6 +87,11 @@ SHARED = (
     "subscription_lifecycle", "attribution", "engagement_states", "experiment_results", "account_health",
 )
 
+# Intermediate tables that checks and marts read, written when the build is published.
+CHECKED = tuple(
+    n for n in declared.TABLES if n in RECIPES and n not in SHARED and n not in MART_NAMES and not n.startswith("stg_")
+)
+
 # Row order inside the files of a written table. Most readers want a few event types, and
 # can then skip the row groups of all others.
 CLUSTERED_BY = {
@@ -174,6 +179,12 @@ class Build:
             return dict(zip(tables, pool.map(put, tables)))
 
     def publish(self, catalog: TableCatalog, concurrency: int = 8) -> Mapping[str, DataFrame]:
-        """Write all marts; returns the tables of this build with the written marts in place of their plans."""
+        """Write the intermediate tables that are checked and then all marts.
+
+        Returns the tables of this build, those written in place of their plans; later
+        tables of the build read the written intermediate ones too.
+        """
+        self.write(catalog, CHECKED, concurrency)
+        self._made |= {name: catalog.read(name, "intermediate") for name in CHECKED}
         self.write(catalog, MART_NAMES, concurrency)
         return ChainMap({name: catalog.read(name) for name in MART_NAMES}, self)
