@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from lifeloom.llm.components import connected
 from lifeloom.llm.near import shingle_sets
-from lifeloom.llm.tables import columns, discard, keep
+from lifeloom.llm.tables import columns, discard, keep, keep_bucketed, partitions
 from lifeloom.llm.words import U, mixed
 
 PERCENT = 80
@@ -63,7 +63,7 @@ FIRST = 4
 HELD = 1 << 17
 
 SKETCH = "at long, doc_id long, text_hash long, n long, high long, low long, tokens array<long>, extra array<long>, bits binary"
-SETS = "doc_id long, text_hash long, high long, low long, shingles array<long>"
+SETS = "text_hash long, high long, low long, shingles array<long>"
 
 
 # --- the order of shingles --------------------------------------------------------------------
@@ -356,17 +356,16 @@ def sketches(common: Broadcast):
 
 def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = list(shingle_sets(b.column(2)))
+        sets = list(shingle_sets(b.column(1)))
         names = [digests(s) if len(s) else (None, None) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0),
-                b.column(1),
                 pa.array([x for x, _ in names], pa.int64()),
                 pa.array([x for _, x in names], pa.int64()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             ],
-            ["doc_id", "text_hash", "high", "low", "shingles"],
+            ["text_hash", "high", "low", "shingles"],
         )
 
 
@@ -385,17 +384,14 @@ def linked_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def confirmed(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    A node's text is found again by its id and hash, null-safe, and its set by the set's name.
+    A node's text is found again by a hash of id and text, and its set by the set's name. The
+    texts lie in buckets by that hash, so they are not shuffled however many are wanted.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    place = keep(nodes.select("node", "doc_id", "text_hash", "high", "low").join(wanted, "node", "left_semi"), "wanted")
-    p, t = place.select("doc_id", "text_hash").distinct().alias("p"), rows.alias("t")
-    same = F.col("t.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("t.text_hash") == F.col("p.text_hash"))
-    sets = t.join(p, same, "left_semi").select("doc_id", "text_hash", "text").mapInArrow(sets_of, SETS)
-    s, q = sets.alias("s"), place.alias("q")
-    same = F.col("s.doc_id").eqNullSafe(F.col("q.doc_id")) & (F.col("s.text_hash") == F.col("q.text_hash"))
-    for name in ("high", "low"):
-        same = same & (F.col(f"s.{name}") == F.col(f"q.{name}"))
+    place = keep(nodes.select("node", "text_hash", "high", "low").join(wanted, "node", "left_semi"), "wanted")
+    texts = rows.join(place.select("text_hash").distinct().hint("shuffle_hash"), "text_hash", "left_semi")
+    s = texts.select("text_hash", "text").mapInArrow(sets_of, SETS)
+    q, same = place, ["text_hash", "high", "low"]
     own = s.join(q, same).select("node", "shingles").dropDuplicates(["node"])
     own = keep(own, "sets")
     both = pairs.join(own.toDF("a", "set_a"), "a").join(own.toDF("b", "set_b"), "b")
@@ -466,25 +462,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     spark = docs.sparkSession
     rows = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    # copies differ by their ids, so a text that very many have is spread over the buckets
+    rows = rows.withColumn("text_hash", F.xxhash64("doc_id", "text"))
+    rows = keep_bucketed(rows, "texts", "text_hash", partitions(spark))
     common = spark.sparkContext.broadcast(common_shingles(rows.select("text")))
     numbered = rows.select(F.monotonically_increasing_id().alias("at"), "doc_id", "text_hash", "text")
     sketch = keep(numbered.mapInArrow(sketches(common), SKETCH), "sketches")
 
     # one node per distinct set, numbered by its first row
     nodes = sketch.filter("n > 0").groupBy("high", "low")
-    first = F.min(F.struct("at", "doc_id", "text_hash", "n"))
+    first = F.min(F.struct("at", "text_hash", "n"))
     nodes = nodes.agg(first.alias("r"), *(F.any_value(c).alias(c) for c in ("tokens", "extra", "bits")))
-    place = [F.col("r.at").alias("node"), "r.doc_id", "r.text_hash", F.col("r.n").alias("size")]
+    place = [F.col("r.at").alias("node"), "r.text_hash", F.col("r.n").alias("size")]
     nodes = keep(nodes.select("high", "low", *place, "tokens", "extra", "bits"), "nodes")
     of_row = keep(sketch.select("doc_id", "n", "high", "low"), "rows")
     discard(sketch)
+    # bitmaps are looked up again and again, in place
+    sizes = keep_bucketed(nodes.select("node", "size", "bits"), "bitmaps", "node", partitions(spark))
 
     keyed = keep(index_keys(nodes), "keys")
     stars = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     member = keep(keyed.join(stars, "key"), "members")
     discard(keyed)
-    sizes = nodes.select("node", "size", "bits")
     star = member.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     star = (
         star.join(sizes.toDF("a", "size_a", "bits_a"), "a")
@@ -499,7 +498,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     left = member.filter("n > 2").select("key", "node")
     for most in (FIRST, None):
         left = unsettled(left.select("key", "node"), final)
-        more = keep(tiled(left, nodes, most), "pairs")
+        more = keep(tiled(left, sizes, most), "pairs")
         left = left.join(more.filter("key is not null").select("key").distinct(), "key", "left_semi")
         pairs = more.filter("key is null").select("a", "b")
         linked = keep(linked.unionByName(confirmed(pairs, rows, nodes)), "links")
