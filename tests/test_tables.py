@@ -529,3 +529,14 @@ def test_seed_refuses_what_it_cannot_read(spark, tmp_path):
     for bad in ("at,id\n2024-01-01 00:00:00,1\n", "id,at\nx,2024-01-01 00:00:00\n", "id,at\n1,soon\n"):
         with pytest.raises(Exception):  # noqa: B017
             _seed(spark, tmp_path, bad)
+
+
+def test_registered_calendar_follows_the_subscriptions(spark, frame, monkeypatch):
+    """The days come from the subscription events, not from fixed bounds."""
+    from verification import catalog
+
+    staged = frame("event_time timestamp", ("2019-12-31 10:00:00",), ("2020-02-03 10:00:00",))
+    monkeypatch.setattr(catalog, "build_for", lambda spark, sf_dir: {"stg_subscriptions": staged})
+    got = catalog.QUERIES["d6_dim_date"](spark, "")
+    assert tuple(got.agg(F.min("first_key"), F.max("year_number"), F.sum("days")).first()) == (20190101, 2020, 365 + 366)
+    assert "stg_subscriptions" in catalog.ORACLE["d6_dim_date"]
