@@ -1,8 +1,7 @@
 """Quality rules: surface counts of a text, and a log-likelihood ratio of hashed n-grams.
 
 The ratio compares two multinomials over hashed words and word pairs: one counted over the
-documents that labels call good (quality 1, nothing toxic; if there are more than ``TRUSTED``
-of them, that many by the hash of their doc_id), one over the whole corpus. A
+documents that labels call good (quality 1, nothing toxic), one over the whole corpus. A
 document's score is the mean of log(trusted / raw) over its n-grams. A few insults or one bad
 passage hardly move the mean of a long text, so a document is also judged by its worst word and
 by its worst passage: the lowest mean over overlapping windows of ``PASSAGE`` words that cover
@@ -10,15 +9,16 @@ the whole text. These two take classes ``FINER`` times finer, in which an insult
 with many other words, and weights that stay near 0 for classes with few n-grams.
 
 The three thresholds are fitted: one labelled document in ``HELD_ONE_IN`` is left out of the
-trusted counts (``HELD`` rows at most are asked for), and each threshold is the one that catches
+trusted counts, and each threshold is the one that catches
 the most bad documents held out, less ``COST`` times the good ones lost; toxic ones for the worst
 word, those of quality 0 for the others. To these come ``BELIEF`` documents of each kind that only
 a prior threshold tells apart: ``THRESHOLD`` for the mean, one below all scores for the other two.
 So few labels hardly move the thresholds, many decide them, and there is one rule at every size.
 
-The raw counts cover every row. What is broadcast is bounded: ``TRUSTED`` and ``HELD`` ids and one
-weight for each hash class; no text is shuffled. Weights are whole parts of 1/10,000, so the
-sum does not depend on any order of rows. Only DataFrame functions are used.
+All counts cover every row and every label. Labels are broadcast only where Spark finds them small;
+else texts meet them by a join. One weight for each hash class goes to every task. Weights are whole parts of
+1/10,000, so the sum does not depend on any order of rows. Words, their hashes and the surface counts are
+DataFrame functions; classes are counted and weights added up in numpy, batch by batch.
 
 Rules for odd rows: a null or blank text has no words, fails the base rules and has score 0;
 rows are judged one by one, so repeated rows and rows without doc_id are fine; labels with a
@@ -29,16 +29,16 @@ and every score and worst mean is 0; an empty table gives no rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lifeloom.llm.tables import SPACE, columns, keep
 
 BUCKETS = 1 << 14
-#: So many labelled documents at most make the trusted counts.
-TRUSTED = 20_000
 #: Mean log ratio per n-gram from which a document is kept, before labels have a say.
 THRESHOLD = -0.1
 #: Documents of each kind that the prior thresholds stand for.
@@ -49,9 +49,8 @@ PASSAGE = 16
 FINER = 16
 #: Trusted n-grams that are added to what a fine class has and to what it should have.
 DOUBT = 1.5
-#: One labelled document in so many is for fitting thresholds only, ``HELD`` documents at most.
+#: One labelled document in so many is for fitting thresholds only.
 HELD_ONE_IN = 5
-HELD = 20_000
 #: Bad documents that must be caught for each good one lost, as shares.
 COST = 2.0
 MIN_WORDS = 50
@@ -129,30 +128,51 @@ def is_held() -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_ONE_IN)) == 0
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """doc_id of documents that all their labels call good, ``most`` at most, none of those held out."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of all documents that all their labels call good, but for those held out."""
     marks = columns(labels, "doc_id", "quality", "toxic").dropna().filter(~is_held())
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    found = marks.groupBy("doc_id").agg(F.min(good).alias("trusted")).filter("trusted")
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return marks.groupBy("doc_id").agg(F.min(good).alias("trusted")).filter("trusted")
 
 
-def held_ids(labels: DataFrame, most: int = HELD) -> DataFrame:
-    """(doc_id, junk, toxic) of documents held out, ``most`` at most; neither mark means good."""
+def held_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, junk, toxic) of all documents held out; neither mark means good."""
     marks = columns(labels, "doc_id", "quality", "toxic").dropna().filter(is_held())
-    found = marks.groupBy("doc_id").agg(
+    return marks.groupBy("doc_id").agg(
         F.max(F.col("quality") != 1).alias("_junk"), F.max(F.col("toxic") != 0).alias("_toxic")
     )
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int, trusted: int = TRUSTED) -> DataFrame:
+def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of an array of lists without nulls, and where each list begins and the last one ends."""
+    at = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[at[0] : at[-1]], (at - at[0]).astype(np.int64)
+
+
+def class_counts(classes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that gives one row per class of a task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, good = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
+        for batch in batches:
+            grams, at = flat(batch.column("grams"))
+            trusted = np.repeat(batch.column("trusted").to_numpy(zero_copy_only=False), np.diff(at))
+            raw += np.bincount(grams, minlength=classes)
+            good += np.bincount(grams[trusted], minlength=classes)
+        found = np.flatnonzero(raw)
+        arrays = [pa.array(found.astype(np.int32)), pa.array(raw[found]), pa.array(good[found])]
+        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "raw", "good"])
+
+    return work
+
+
+def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
     """(bucket, raw, good): n-grams of all and of trusted rows by class, counted in one pass."""
-    good = F.broadcast(trusted_ids(labels, trusted))  # ``trusted`` rows at most
-    text = columns(docs, "doc_id", "text").join(good, "doc_id", "left")
-    rows = with_words(text, F.coalesce("trusted", F.lit(False)).cast("long").alias("trusted"))
-    grams = rows.select("trusted", F.explode(ngrams(F.col("_hashes"), buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
+    text = columns(docs, "doc_id", "text").join(trusted_ids(labels), "doc_id", "left")
+    rows = with_words(text, F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    grams = rows.select("trusted", ngrams(F.col("_hashes"), buckets).alias("grams"))
+    parts = grams.mapInArrow(class_counts(buckets), "bucket int, raw long, good long")
+    counts = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
     return keep(counts, "gram_counts")
 
 
@@ -185,57 +205,78 @@ def fine_weights(counts: DataFrame, doubt: float = DOUBT) -> DataFrame:
     return with_totals(counts).select("bucket", F.round(ratio * PARTS).cast("long").alias("weight"))
 
 
-def weight_list(found: DataFrame, buckets: int) -> Column:
-    """The weights as one constant array by bucket; there are ``buckets`` of them, however many rows."""
-    known = {r["bucket"]: r["weight"] for r in found.collect()}
-    return F.split(F.lit(",".join(str(known.get(b, 0)) for b in range(buckets))), ",").cast("array<bigint>")
+def weight_array(found: DataFrame, buckets: int) -> np.ndarray:
+    """The weights by bucket; there are ``buckets`` of them, however many rows."""
+    known, table = np.zeros(buckets, np.int64), found.toArrow()
+    known[table.column("bucket").to_numpy()] = table.column("weight").to_numpy()
+    return known
 
 
-def summed(grams: Column, weight: Callable[[Column], Column]) -> Column:
-    return F.aggregate(grams, F.lit(0).cast("long"), lambda a, b: a + weight(b))
+#: N-grams that are scored at once.
+AT_ONCE = 1 << 20
 
 
-def scored(rows: DataFrame, coarse: Column, fine: Column, buckets: int) -> DataFrame:
-    """``score``, ``worst_word`` and ``worst_passage`` of rows that have ``_hashes``.
+def scores_of(grams: np.ndarray, at: np.ndarray, coarse: np.ndarray, fine: np.ndarray) -> list[np.ndarray]:
+    """``score``, ``worst_word`` and ``worst_passage`` of documents, from their n-grams one after the other.
 
-    Each array that is used more than once is made by a generator, or it would be made anew for
-    every use inside of a lambda. The weights are constants of the plan, so each is named once.
+    A document of n words has n classes of words and then n - 1 of pairs. A pair belongs to the block of its
+    first word; a passage is two neighbouring blocks of ``PASSAGE / 2`` words.
     """
-    n, half = F.size("_hashes"), PASSAGE // 2
-    parted = rows.select("*", F.explode(F.array(ngrams(F.col("_hashes"), buckets * FINER))).alias("_grams"))
-    parted = parted.select("*", F.explode(F.array(F.transform("_grams", lambda b: F.get(fine, b)))).alias("_light"))
-    heavy = summed(F.col("_grams"), lambda b: F.get(coarse, b % buckets))
-
-    def block(start: Column) -> Column:
-        """A pair belongs to the block of its first word; pairs stand after the n words."""
-        room, light = F.least(F.lit(half), n - start), F.col("_light")
-        # single elements: a slice would copy the whole array for every block
-        total = F.aggregate(
-            F.sequence(start, start + room - 1),
-            F.lit(0).cast("long"),
-            lambda a, k: a + F.get(light, k) + F.when(k < n - 1, F.get(light, n + k)).otherwise(F.lit(0).cast("long")),
-        )
-        return F.struct(total.alias("total"), (room + F.least(room, n - 1 - start)).alias("count"))
-
-    blocks = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, F.lit(half)), block)).otherwise(
-        F.array(F.struct(F.lit(0).cast("long").alias("total"), F.lit(1).alias("count")))
-    )
-    parts, last = F.col("_blocks"), F.size("_blocks") - 1
-
-    def window(i: Column) -> Column:
-        a, b = F.get(parts, i), F.get(parts, F.least(i + 1, last))
-        return F.when(last == 0, a["total"] / a["count"]).otherwise((a["total"] + b["total"]) / (a["count"] + b["count"]))
-
-    windows = F.transform(F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), window)
-    parted = parted.select("*", F.explode(F.array(blocks)).alias("_blocks"))
-    part = F.lit(float(PARTS))
-    return parted.withColumns(
-        {
-            "score": heavy / part / F.greatest(F.size("_grams"), F.lit(1)),
-            "worst_word": F.coalesce(F.array_min(F.slice("_light", 1, n)), F.lit(0)) / part,
-            "worst_passage": F.array_min(windows) / part,
-        }
-    ).drop("_grams", "_light", "_blocks")
+    half, size = PASSAGE // 2, np.diff(at)
+    n = (size + 1) // 2
+    light = fine[grams]
+    sums = np.concatenate([[0], np.cumsum(coarse[grams % len(coarse)])])
+    score = (sums[at[1:]] - sums[at[:-1]]) / PARTS / np.maximum(size, 1)
+    worst_word, worst_passage = np.zeros(len(n)), np.zeros(len(n))
+    some = np.flatnonzero(n)
+    if len(some):
+        n, begin = n[some], at[:-1][some]
+        first = np.concatenate([[0], np.cumsum(n)])  # of each document among all words
+        doc = np.repeat(np.arange(len(n)), n)
+        place = np.arange(first[-1]) - first[doc]
+        total = light[begin[doc] + place]
+        worst_word[some] = np.minimum.reduceat(total, first[:-1]) / PARTS
+        paired = np.flatnonzero(place < n[doc] - 1)
+        total[paired] += light[(begin + n)[doc[paired]] + place[paired]]
+        blocks = -(-n // half)
+        first_block = np.concatenate([[0], np.cumsum(blocks)])
+        start = np.flatnonzero(place % half == 0)
+        count = np.ones(len(place), np.int64)
+        count[paired] += 1
+        total, count = np.add.reduceat(total, start), np.add.reduceat(count, start)
+        # a block is followed by the next one of its document, if there is one
+        follows = np.ones(len(start), bool)
+        follows[first_block[1:] - 1] = False
+        into, ahead = np.flatnonzero(follows), np.flatnonzero(follows) + 1
+        both, weight = total.copy(), count.copy()
+        both[into] += total[ahead]
+        weight[into] += count[ahead]
+        mean = both / weight
+        mean[first_block[1:][blocks > 1] - 1] = np.inf  # the last block is in the passage before
+        worst_passage[some] = np.minimum.reduceat(mean, first_block[:-1]) / PARTS
+    return [score, worst_word, worst_passage]
+
+
+SCORES = "score double, worst_word double, worst_passage double"
+
+
+def scored(rows: DataFrame, coarse: np.ndarray, fine: np.ndarray, buckets: int) -> DataFrame:
+    """``score``, ``worst_word`` and ``worst_passage`` of rows that have ``_hashes``, which goes."""
+    sent = rows.sparkSession.sparkContext.broadcast((coarse, fine))
+
+    def work(grams: pa.Array) -> pa.Array:
+        values, at = flat(grams)
+        parts, low = [], 0
+        while low < len(at) - 1:
+            high = max(low + 1, int(np.searchsorted(at, at[low] + AT_ONCE, "right")) - 1)
+            parts.append(scores_of(values[at[low] : at[high]], at[low : high + 1] - at[low], *sent.value))
+            low = high
+        found = [np.concatenate(p) for p in zip(*parts, strict=True)] or [np.zeros(0)] * 3
+        return pa.StructArray.from_arrays([pa.array(f) for f in found], names=["score", "worst_word", "worst_passage"])
+
+    grams = rows.withColumn("_grams", ngrams(F.col("_hashes"), buckets * FINER)).drop("_hashes")
+    found = grams.withColumn("_scores", F.arrow_udf(work, SCORES)("_grams")).drop("_grams")
+    return found.select("*", "_scores.*").drop("_scores")
 
 
 def with_words(docs: DataFrame, *given: Column) -> DataFrame:
@@ -269,13 +310,14 @@ def best_cut(good: dict[int, int], bad: dict[int, int], prior: int) -> int:
 STEPS, FAR = 200, 20
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, coarse: Column, fine: Column, buckets: int) -> dict[str, float]:
+def thresholds(
+    docs: DataFrame, labels: DataFrame, coarse: np.ndarray, fine: np.ndarray, buckets: int
+) -> dict[str, float]:
     """The cut of each score, fitted on the documents held out."""
-    held = F.broadcast(held_ids(labels))  # ``HELD`` rows at most
-    rows = columns(docs, "doc_id", "text").join(held, "doc_id")
-    rows = scored(with_words(rows, F.col("_junk"), F.col("_toxic")), coarse, fine, buckets)
+    rows = columns(docs, "doc_id", "text").join(held_ids(labels), "doc_id")
     # texts too short are rejected whatever their score
-    rows = rows.filter(F.size("_words") >= MIN_WORDS)
+    rows = with_words(rows, F.col("_junk"), F.col("_toxic")).filter(F.size("_words") >= MIN_WORDS)
+    rows = scored(rows.drop("_words"), coarse, fine, buckets)
     kinds = {"score": "_junk", "worst_word": "_toxic", "worst_passage": "_junk"}
     prior = {"score": round(THRESHOLD * STEPS), "worst_word": -FAR * STEPS, "worst_passage": -FAR * STEPS}
     step = lambda c: F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.col(c))) * STEPS)
@@ -300,8 +342,8 @@ def quality(
     Columns of the input that have the names of results are replaced.
     """
     counts = gram_counts(docs, labels, buckets * FINER)
-    coarse = weight_list(weights(counts, buckets), buckets)
-    fine = weight_list(fine_weights(counts), buckets * FINER)
+    coarse = weight_array(weights(counts, buckets), buckets)
+    fine = weight_array(fine_weights(counts), buckets * FINER)
     cuts = thresholds(docs, labels, coarse, fine, buckets)
     if threshold is not None:
         cuts["score"] = threshold
@@ -312,7 +354,7 @@ def quality(
     given = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.col("_words")
-    counted = scored(with_words(docs, *given), coarse, fine, buckets).withColumns(
+    counted = with_words(docs, *given).withColumns(
         {
             "n_words": F.size(words).cast("long"),
             "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
@@ -320,7 +362,8 @@ def quality(
             "n_dup_lines": duplicate_lines(text).cast("long"),
             "n_repeat_words": repeated_words(F.col("_hashes")).cast("long"),
         }
-    ).drop("_words", "_hashes")
+    )
+    counted = scored(counted.drop("_words"), coarse, fine, buckets)
     passed = F.lit(True)
     for name, cut in cuts.items():
         passed = passed & (F.col(name) >= F.lit(cut))
