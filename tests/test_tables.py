@@ -540,3 +540,21 @@ def test_registered_calendar_follows_the_subscriptions(spark, frame, monkeypatch
     got = catalog.QUERIES["d6_dim_date"](spark, "")
     assert tuple(got.agg(F.min("first_key"), F.max("year_number"), F.sum("days")).first()) == (20190101, 2020, 365 + 366)
     assert "stg_subscriptions" in catalog.ORACLE["d6_dim_date"]
+
+
+def test_streams_get_their_loads_in_parallel(spark, make_events, tmp_path, monkeypatch):
+    """No load is one file of one task, and every load is one run of the stream."""
+    from verification import catalog
+
+    days = [{"event_time": f"2024-01-{d:02d} {h:02d}:00:00"} for d in range(1, 10) for h in range(20)]
+    staged = make_events(*days).repartition(4)
+    monkeypatch.setattr(catalog, "scratch", lambda b, name: str(tmp_path / name))
+    seen = []
+
+    def run(stream, path):
+        got = f"{path}-got"
+        streams.drain(stream.select("event_id", "event_time"), f"{path}-progress", got)
+        seen.append((len(glob.glob(f"{path}-files/*.parquet")), spark.read.parquet(got).count()))
+
+    catalog._in_loads({"stg_events": staged}, "loads", run)
+    assert [n for _, n in seen] == [60, 120, 180] and [f > 2 * i for i, (f, _) in enumerate(seen, 1)] == [True] * 3
