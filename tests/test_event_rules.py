@@ -214,3 +214,23 @@ def test_as_of_with_a_time_zone(spark):
 
     at = datetime(2024, 2, 15, 1, tzinfo=timezone(timedelta(hours=3)))
     assert spark.range(1).select(F.date_format(Policy(as_of=at).as_of_time(), "yyyy-MM-dd HH")).first()[0] == "2024-02-14 22"
+
+
+def test_exposures_parse_a_list_once_per_user(spark, frame):
+    """Events are reduced to one row per user and list of flags before any list is parsed."""
+    from lifeloom.operators import experiments
+
+    flags = '[{"experiment_id":"a","variant":"x"},{"experiment_id":"b","variant":"y"}]'
+    resolved = frame(
+        "resolved_user_id string, event_id string, event_time timestamp, event_type string, experiment_flags string",
+        *[("u", f"e{i}", f"2024-01-{i:02d} 10:00:00", "page_view", flags if i % 2 else flags.replace("b", "c")) for i in range(1, 9)],
+        ("u", "e9", "2024-01-09 10:00:00", "page_view", None),
+    )
+    exposed = experiments.exposures(resolved)
+    assert rows(exposed, "experiment_id", "variant", "first_exposure_at", "last_exposure_at") == [
+        ("a", "x", "2024-01-01 10:00:00", "2024-01-08 10:00:00"),
+        ("b", "y", "2024-01-01 10:00:00", "2024-01-07 10:00:00"),
+        ("c", "y", "2024-01-02 10:00:00", "2024-01-08 10:00:00"),
+    ]
+    plan = exposed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate") :]
