@@ -15,9 +15,10 @@ word, those of quality 0 for the others. To these come ``BELIEF`` documents of e
 a prior threshold tells apart: ``THRESHOLD`` for the mean, one below all scores for the other two.
 So few labels hardly move the thresholds, many decide them, and there is one rule at every size.
 
-All counts cover every row and every label. Labels are broadcast only where Spark finds them small;
-else texts meet them by a join. One weight for each hash class goes to every task. Weights are whole parts of
-1/10,000, so the sum does not depend on any order of rows. Only DataFrame functions are used.
+All counts cover every row and every label. Labels are first packed to one bit per document and mark, one row
+for ``BITS`` neighbouring ids, and written; Spark broadcasts these while it finds them small, so that texts stay where they are,
+and shuffles texts to them beyond. One weight for each hash class goes to every task, as the one row of a written
+table. Weights are whole parts of 1/10,000, so the sum does not depend on any order of rows. Only DataFrame functions are used.
 
 Rules for odd rows: a null or blank text has no words, fails the base rules and has score 0;
 rows are judged one by one, so repeated rows and rows without doc_id are fine; labels with a
@@ -30,9 +31,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lifeloom.llm.tables import SPACE, columns, keep
 
@@ -49,6 +50,8 @@ FINER = 16
 DOUBT = 1.5
 #: One labelled document in so many is for fitting thresholds only.
 HELD_ONE_IN = 5
+#: Neighbouring doc_ids whose marks are the bits of one number.
+BITS = 64
 #: Bad documents that must be caught for each good one lost, as shares.
 COST = 2.0
 MIN_WORDS = 50
@@ -141,10 +144,34 @@ def held_ids(labels: DataFrame) -> DataFrame:
     )
 
 
+def with_marks(docs: DataFrame, ids: DataFrame, *marks: str, how: str = "left") -> DataFrame:
+    """The rows with the boolean ``marks`` of their doc_id; without one they are false, or the row goes if ``how`` is inner.
+
+    ``ids`` has one row per doc_id. Whole numbers are packed, one row for ``BITS`` neighbours, so that
+    dense ids take 64 times fewer rows; scattered ones take as many as they are.
+    """
+    found = F.lit(True).alias("_found")
+    if not all(isinstance(d.schema["doc_id"].dataType, T.IntegralType) for d in (docs, ids)):
+        listed = keep(ids.select("doc_id", *marks, found), "marks")
+        rows = docs.join(listed, "doc_id", how)
+    else:
+        at = F.col("doc_id").cast("long")
+        word, place = F.shiftright(at, BITS.bit_length() - 1).alias("_word"), F.pmod(at, F.lit(BITS)).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+        packed = ids.select(word, bit.alias("_bit"), *marks, found).groupBy("_word")
+        bits = (F.bit_or(F.when(F.col(m), F.col("_bit")).otherwise(F.lit(0).cast("long"))) for m in (*marks, "_found"))
+        packed = keep(packed.agg(*(b.alias(m) for b, m in zip(bits, (*marks, "_found"), strict=True))), "marks")
+        rows = docs.withColumn("_word", word).join(packed, "_word", how).drop("_word")
+        rows = rows.withColumns({m: F.getbit(m, place) == 1 for m in (*marks, "_found")})
+    if how == "inner":
+        rows = rows.filter("_found")
+    return rows.drop("_found").withColumns({m: F.coalesce(m, F.lit(False)) for m in marks})
+
+
 def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
     """(bucket, raw, good): n-grams of all and of trusted rows by class, counted in one pass."""
-    text = columns(docs, "doc_id", "text").join(trusted_ids(labels), "doc_id", "left")
-    rows = with_words(text, F.coalesce("trusted", F.lit(False)).cast("long").alias("trusted"))
+    text = with_marks(columns(docs, "doc_id", "text"), trusted_ids(labels), "trusted")
+    rows = with_words(text, F.col("trusted").cast("long").alias("trusted"))
     grams = rows.select("trusted", F.explode(ngrams(F.col("_hashes"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
     return keep(counts, "gram_counts")
@@ -180,10 +207,27 @@ def fine_weights(counts: DataFrame, doubt: float = DOUBT) -> DataFrame:
 
 
 def weight_list(found: DataFrame, buckets: int) -> Column:
-    """The weights as one constant array by bucket; there are ``buckets`` of them, however many rows."""
-    known, table = np.zeros(buckets, np.int64), found.toArrow()
-    known[table.column("bucket").to_numpy()] = table.column("weight").to_numpy()
-    return F.split(F.lit(",".join(map(str, known.tolist()))), ",").cast("array<bigint>")
+    """The weights as one array by bucket, a scalar subquery; there are ``buckets`` of them, however many rows.
+
+    As a constant they would be spelled out in every plan that the driver keeps.
+    """
+    classes = found.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
+    weight = F.coalesce("weight", F.lit(0).cast("long")).alias("weight")
+    pairs = classes.join(found, "bucket", "left").select(F.struct("bucket", weight).alias("pair"))
+    row = pairs.agg(F.array_sort(F.collect_list("pair")).getField("weight").alias("weights"))
+    return keep(row, "weights").scalar()
+
+
+def looked_up(rows: DataFrame, table: Column, use: Callable[[Column], Column], name: str) -> DataFrame:
+    """``rows`` with a column made by ``use`` of a subquery's value.
+
+    Lambdas can't name a subquery, so it is a column first, used once; Spark folds the two selections
+    into one, and no row carries the table. The result is made by a generator and so never made anew.
+    """
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    made = F.get(F.transform(F.array("_table"), use), F.lit(0))
+    done = rows.select(*own, table.alias("_table")).select(*own, made.alias("_made"))
+    return done.select(*own, F.explode(F.array("_made")).alias(name))
 
 
 def summed(grams: Column, weight: Callable[[Column], Column]) -> Column:
@@ -194,12 +238,12 @@ def scored(rows: DataFrame, coarse: Column, fine: Column, buckets: int) -> DataF
     """``score``, ``worst_word`` and ``worst_passage`` of rows that have ``_hashes``.
 
     Each array that is used more than once is made by a generator, or it would be made anew for
-    every use inside of a lambda. The weights are constants of the plan, so each is named once.
+    every use inside of a lambda.
     """
     n, half = F.size("_hashes"), PASSAGE // 2
     parted = rows.select("*", F.explode(F.array(ngrams(F.col("_hashes"), buckets * FINER))).alias("_grams"))
-    parted = parted.select("*", F.explode(F.array(F.transform("_grams", lambda b: F.get(fine, b)))).alias("_light"))
-    heavy = summed(F.col("_grams"), lambda b: F.get(coarse, b % buckets))
+    parted = looked_up(parted, fine, lambda t: F.transform("_grams", lambda b: F.get(t, b)), "_light")
+    parted = looked_up(parted, coarse, lambda t: summed(F.col("_grams"), lambda b: F.get(t, b % buckets)), "_heavy")
 
     def block(start: Column) -> Column:
         """A pair belongs to the block of its first word; pairs stand after the n words."""
@@ -226,11 +270,11 @@ def scored(rows: DataFrame, coarse: Column, fine: Column, buckets: int) -> DataF
     part = F.lit(float(PARTS))
     return parted.withColumns(
         {
-            "score": heavy / part / F.greatest(F.size("_grams"), F.lit(1)),
+            "score": F.col("_heavy") / part / F.greatest(F.size("_grams"), F.lit(1)),
             "worst_word": F.coalesce(F.array_min(F.slice("_light", 1, n)), F.lit(0)) / part,
             "worst_passage": F.array_min(windows) / part,
         }
-    ).drop("_grams", "_light", "_blocks")
+    ).drop("_grams", "_light", "_heavy", "_blocks")
 
 
 def with_words(docs: DataFrame, *given: Column) -> DataFrame:
@@ -266,7 +310,7 @@ STEPS, FAR = 200, 20
 
 def thresholds(docs: DataFrame, labels: DataFrame, coarse: Column, fine: Column, buckets: int) -> dict[str, float]:
     """The cut of each score, fitted on the documents held out."""
-    rows = columns(docs, "doc_id", "text").join(held_ids(labels), "doc_id")
+    rows = with_marks(columns(docs, "doc_id", "text"), held_ids(labels), "_junk", "_toxic", how="inner")
     # texts too short are rejected whatever their score
     rows = with_words(rows, F.col("_junk"), F.col("_toxic")).filter(F.size("_words") >= MIN_WORDS)
     rows = scored(rows, coarse, fine, buckets)
@@ -303,10 +347,10 @@ def quality(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "score", "worst_word", "worst_passage", "base_failed", "kept",
     )
-    given = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.col("_words")
-    counted = scored(with_words(docs, *given), coarse, fine, buckets).withColumns(
+    counted = scored(with_words(docs, *others), coarse, fine, buckets).withColumns(
         {
             "n_words": F.size(words).cast("long"),
             "word_chars": F.char_length(F.array_join(words, "")).cast("long"),

@@ -241,6 +241,49 @@ def test_all_labels_count(spark):
     assert trusted + held == 120_000 and held > 20_000
 
 
+def test_texts_are_not_shuffled_to_labels(spark):
+    """Marks are bits of neighbouring ids, small enough to broadcast where a list of ids is not."""
+    from lifeloom.llm.quality import trusted_ids, with_marks
+
+    n = 150_000
+    ids = spark.range(-n // 2, n // 2).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("k"))
+    labels = ids.select("doc_id", F.when(F.col("k") == 0, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+    docs = ids.select("doc_id", F.lit("a text").alias("text")).unionByName(
+        spark.createDataFrame([(None, "no id"), (n, "no label"), (-n, "nor here")], "doc_id long, text string")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "128k")
+    try:
+        marked = with_marks(docs, trusted_ids(labels), "trusted")
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        got = {r.doc_id for r in marked.filter("trusted").collect()}
+        assert got == {r.doc_id for r in trusted_ids(labels).collect()} and marked.count() == n + 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_marks_of_any_type_of_id(spark):
+    from lifeloom.llm.quality import held_ids, with_marks
+
+    rows = [(str(i), i % 2, i % 5 == 0) for i in range(400)]
+    labels = spark.createDataFrame([(i, q, int(t)) for i, q, t in rows], "doc_id string, quality int, toxic int")
+    docs = spark.createDataFrame([(i, "text") for i, *_ in rows] + [(None, "text")], "doc_id string, text string")
+    held = {r.doc_id: (r._junk, r._toxic) for r in held_ids(labels).collect()}
+    got = with_marks(docs, held_ids(labels), "_junk", "_toxic", how="inner").collect()
+    assert {r.doc_id: (r._junk, r._toxic) for r in got} == held and len(got) == len(held) > 40
+    whole = labels.withColumn("doc_id", F.col("doc_id").cast("int") - 200)
+    held = {r.doc_id: (r._junk, r._toxic) for r in held_ids(whole).collect()}
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long") - 200)
+    got = with_marks(docs, held_ids(whole), "_junk", "_toxic", how="inner").collect()
+    assert {r.doc_id: (r._junk, r._toxic) for r in got} == held and len(got) == len(held) > 40
+
+
+def test_plans_do_not_spell_out_weights(spark, docs):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    assert len(quality(docs, labels)._jdf.queryExecution().toString()) < 200_000
+
+
 def test_thresholds_move_from_the_prior_to_the_labels():
     """One rule: without labels the prior stands, few labels hardly move it, many decide."""
     from lifeloom.llm.quality import BELIEF, best_cut
