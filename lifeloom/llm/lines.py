@@ -91,16 +91,17 @@ def split_lines(packed: list[bytes | None]) -> tuple[list[str], np.ndarray]:
     return lines, np.array(counts, np.int64)
 
 
-def chunks(packed: list[bytes | None], most: int = 2 << 20) -> Iterator[slice]:
-    """Slices of texts of a bounded size in all, or of one text."""
-    at = size = 0
-    for i, p in enumerate(packed):
-        size += len(p or b"")
+def chunks(b: pa.RecordBatch, at: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have a bounded size in all once unpacked, or of one text."""
+    first = size = 0
+    for i, packed in enumerate(b.column(at)):
+        text = packed.as_py()
+        size += 0 if text is None else zstandard.frame_content_size(text)
         if size >= most:
-            yield slice(at, i + 1)
-            at, size = i + 1, 0
-    if at < len(packed):
-        yield slice(at, len(packed))
+            yield b.slice(first, i + 1 - first)
+            first, size = i + 1, 0
+    if first < b.num_rows:
+        yield b.slice(first)
 
 
 LINES = "doc long, row long, line int, high long, low long, words int, keys array<long>"
@@ -110,33 +111,31 @@ def line_rows(with_keys: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     """One row per line that has words: its place, hash, number of words and half keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in chunks(batch, 2)):
             docs = np.array([LAST if d is None else d for d in b.column(0).to_pylist()], np.int64)
             rows = b.column(1).to_numpy()
-            texts = b.column(2).to_pylist()
-            for part in chunks(texts):
-                lines, counts = split_lines(texts[part])
-                words, first = word_hashes(pa.array(lines, pa.string()))
-                start, end = first[:-1], first[1:]
-                full = np.flatnonzero(end > start)
-                place = np.arange(len(lines)) - np.repeat(np.cumsum(counts) - counts, counts)
-                start, end = start[full], end[full]
-                runs = [Runs(words, base) for base in _BASES]
-                high, low = (r.hashes(start, end).view(np.int64) for r in runs)
-                cols = [
-                    pa.array(np.repeat(docs[part], counts)[full]),
-                    pa.array(np.repeat(rows[part], counts)[full]),
-                    pa.array(place[full].astype(np.int32)),
-                    pa.array(high),
-                    pa.array(low),
-                    pa.array((end - start).astype(np.int32)),
-                ]
-                if with_keys:
-                    keys = np.stack(half_keys(runs[0], start, end), axis=1).view(np.int64)
-                    offsets = np.arange(0, keys.size + 1, 4, dtype=np.int32)
-                    cols.append(pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())))
-                names = ["doc", "row", "line", "high", "low", "words", "keys"][: len(cols)]
-                yield pa.RecordBatch.from_arrays(cols, names)
+            lines, counts = split_lines(b.column(2).to_pylist())
+            words, first = word_hashes(pa.array(lines, pa.string()))
+            start, end = first[:-1], first[1:]
+            full = np.flatnonzero(end > start)
+            place = np.arange(len(lines)) - np.repeat(np.cumsum(counts) - counts, counts)
+            start, end = start[full], end[full]
+            runs = [Runs(words, base) for base in _BASES]
+            high, low = (r.hashes(start, end).view(np.int64) for r in runs)
+            cols = [
+                pa.array(np.repeat(docs, counts)[full]),
+                pa.array(np.repeat(rows, counts)[full]),
+                pa.array(place[full].astype(np.int32)),
+                pa.array(high),
+                pa.array(low),
+                pa.array((end - start).astype(np.int32)),
+            ]
+            if with_keys:
+                keys = np.stack(half_keys(runs[0], start, end), axis=1).view(np.int64)
+                offsets = np.arange(0, keys.size + 1, 4, dtype=np.int32)
+                cols.append(pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())))
+            names = ["doc", "row", "line", "high", "low", "words", "keys"][: len(cols)]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     return work
 
@@ -148,50 +147,47 @@ def chosen_lines(packed: bytes, wanted: list[int]) -> list[str]:
 
 def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each chosen line all variants with one word dropped, and the line itself (place -1)."""
-    for b in batches:
-        rows, texts, wanted = (b.column(i).to_pylist() for i in range(3))
-        for part in chunks(texts):
-            lines, place = [], []
-            for row, packed, chosen in zip(rows[part], texts[part], wanted[part], strict=True):
-                lines += chosen_lines(packed, [c["line"] for c in chosen])
-                place += [(c["doc"], row, c["line"]) for c in chosen]
-            words, first = word_hashes(pa.array(lines, pa.string()))
-            start, end = first[:-1], first[1:]
-            n = end - start
-            runs = Runs(words, _BASES[0])
-            own = np.repeat(np.arange(len(lines)), n)
-            at = np.arange(len(words))
-            a, z = start[own], end[own]
-            rest = runs.raw(a, at) + runs.raw(at + 1, z) * runs.power[at - a]
-            dropped = mixed(rest + (z - a - 1).astype(U))
-            # dropping any of equal neighbours gives the same rest, but another line may differ at
-            # any of their places; for lines of other lengths the first place will do
-            begin = np.ones(len(words), bool)
-            begin[1:] = words[1:] != words[:-1]
-            begin[start[n > 0]] = True
-            key = np.concatenate([dropped, runs.hashes(start, end)]).view(np.int64)
-            spot = np.concatenate([at - a, np.full(len(lines), -1)]).astype(np.int32)
-            line = np.concatenate([own, np.arange(len(lines))])
-            first_place = np.concatenate([begin, np.zeros(len(lines), bool)])
-            doc, row, number = (np.array(x, np.int64) for x in zip(*place, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key),
-                    pa.array(spot),
-                    pa.array(doc[line]),
-                    pa.array(row[line]),
-                    pa.array(number[line].astype(np.int32)),
-                    pa.array(first_place),
-                ],
-                ["key", "spot", *ORDER, "first_place"],
-            )
+    for b in (part for batch in batches for part in chunks(batch, 1)):
+        lines, place = [], []
+        for row, packed, chosen in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            lines += chosen_lines(packed, [c["line"] for c in chosen])
+            place += [(c["doc"], row, c["line"]) for c in chosen]
+        words, first = word_hashes(pa.array(lines, pa.string()))
+        start, end = first[:-1], first[1:]
+        n = end - start
+        runs = Runs(words, _BASES[0])
+        own = np.repeat(np.arange(len(lines)), n)
+        at = np.arange(len(words))
+        a, z = start[own], end[own]
+        rest = runs.raw(a, at) + runs.raw(at + 1, z) * runs.power[at - a]
+        dropped = mixed(rest + (z - a - 1).astype(U))
+        # dropping any of equal neighbours gives the same rest, but another line may differ at
+        # any of their places; for lines of other lengths the first place will do
+        begin = np.ones(len(words), bool)
+        begin[1:] = words[1:] != words[:-1]
+        begin[start[n > 0]] = True
+        key = np.concatenate([dropped, runs.hashes(start, end)]).view(np.int64)
+        spot = np.concatenate([at - a, np.full(len(lines), -1)]).astype(np.int32)
+        line = np.concatenate([own, np.arange(len(lines))])
+        first_place = np.concatenate([begin, np.zeros(len(lines), bool)])
+        doc, row, number = (np.array(x, np.int64) for x in zip(*place, strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(key),
+                pa.array(spot),
+                pa.array(doc[line]),
+                pa.array(row[line]),
+                pa.array(number[line].astype(np.int32)),
+                pa.array(first_place),
+            ],
+            ["key", "spot", *ORDER, "first_place"],
+        )
 
 
 def texts_of_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows, texts, wanted = (b.column(i).to_pylist() for i in range(3))
+    for b in (part for batch in batches for part in chunks(batch, 1)):
         out_row, out_line, out_text = [], [], []
-        for row, packed, chosen in zip(rows, texts, wanted, strict=True):
+        for row, packed, chosen in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             numbers = sorted({c["line"] for c in chosen})
             out_row += [row] * len(numbers)
             out_line += numbers
@@ -235,7 +231,7 @@ def store(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            texts = [None if t is None else squeeze(t.encode()) for t in b.column(at).to_pylist()]
+            texts = [None if (t := x.as_py()) is None else squeeze(t.encode()) for x in b.column(at)]
             cols = [pa.array(texts, pa.binary()) if i == at else c for i, c in enumerate(b.columns)]
             yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
@@ -283,7 +279,7 @@ def rebuilt(schema: T.StructType) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     at = schema.fieldNames().index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in chunks(batch, at)):
             texts, total, removed = [], [], []
             gone = b.column(b.schema.get_field_index("_gone")).to_pylist()
             for packed, drop in zip(b.column(at).to_pylist(), gone, strict=True):

@@ -181,6 +181,27 @@ def test_turns_are_put_in_order(spark):
     assert got == {1: [("user", "a"), ("assistant", "b")], 2: [("", "")], None: [("user", "< |x")]}
 
 
+def test_texts_are_unpacked_a_bounded_part_at_a_time():
+    """Texts that compress well count by the size they have once unpacked."""
+    import pyarrow as pa
+    import zstandard
+
+    from lifeloom.llm import lines
+
+    text = "\n".join(["some line of words that all texts share"] * 6_000)  # 240 kB, packed below 1 kB
+    packed = zstandard.ZstdCompressor(level=1).compress(text.encode())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40)), pa.array(range(40)), pa.array([packed] * 39 + [None], pa.binary())], ["doc", "row", "text"]
+    )
+    parts = list(lines.line_rows(True)(iter([batch])))
+    assert sum(p.num_rows for p in parts) == 39 * 6_000 and max(p.num_rows for p in parts) <= 5 * 6_000
+    assert sorted(set(parts[-1].column("doc").to_pylist()))[-1] == 38
+    chosen = pa.array([[{"doc": 1, "line": 0}, {"doc": 1, "line": 5_999}]] * 39)
+    batch = pa.RecordBatch.from_arrays([batch.column(0)[:39], batch.column(2)[:39], chosen], ["row", "packed", "chosen"])
+    read = list(lines.texts_of_lines(iter([batch])))
+    assert sum(p.num_rows for p in read) == 78 and len(read) >= 8
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
