@@ -46,6 +46,7 @@ OVERLAP = 0.5
 GRAM = 3
 K1, B = 1.2, 0.75
 INDEX_BYTES = 16 << 20
+TERMS_AT_ONCE = 2_000_000
 CLOSING = string.punctuation.encode()
 
 
@@ -71,6 +72,12 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:at]), " ".join(words[at:]) or " ".join(words[:at])
 
 
+def spread(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``begin`` to ``begin + sizes`` of every run, and the run of each place."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) + (begin - np.cumsum(sizes) + sizes)[of], of
+
+
 @dataclass
 class Index:
     """Postings of up to a bounded number of test items, sorted by term and then entry."""
@@ -84,6 +91,13 @@ class Index:
     items: list[int | None]
     parts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # triples of question, answer
 
+    def __post_init__(self) -> None:
+        """Where the postings of each term in each range of entries begin."""
+        term = np.repeat(np.arange(len(self.terms)), np.diff(self.begin))
+        each = term * self.most.shape[1] + self.entry // ITEMS_PER_BLOCK
+        first = np.flatnonzero(np.diff(each, prepend=-1))
+        self.runs, self.run_begin = each[first], np.append(first, len(each))
+
     @staticmethod
     def build(rows: list[tuple[int | None, str, str, str]]) -> Index | None:
         entries, item_of, items, parts = [], [], [], []
@@ -143,27 +157,50 @@ class Index:
             bound = sums.copy()
             bound[follows] += sums[1:][follows[:-1]]
             window, block = np.nonzero(bound >= SCORE - 1e-6)
-            for w in np.unique(window).tolist():
-                end = begin[w + 2] if follows[w] and w + 2 < len(begin) else len(own) if follows[w] else (
-                    begin[w + 1] if w + 1 < len(begin) else len(own)
-                )
-                live = block[window == w]
-                scores = self.score(np.unique(own[begin[w] : end]), live)
-                doc = int(np.searchsorted(base, name[w], side="right") - 1)
-                for e in np.flatnonzero(scores >= SCORE).tolist():
-                    mine = out.setdefault(doc, {})
-                    item = int(self.item_of[e])
-                    mine[item] = max(mine.get(item, 0.0), float(scores[e]))
+            if not len(window):
+                continue
+            ends = np.append(begin[1:], len(own))
+            ends[follows] = ends[1:][follows[:-1]]
+            doc = np.searchsorted(base, name, side="right") - 1
+            for w, e, score in zip(*(x.tolist() for x in self.scored(own, begin, ends, window, block)), strict=True):
+                mine = out.setdefault(int(doc[w]), {})
+                item = int(self.item_of[e])
+                mine[item] = max(mine.get(item, 0.0), score)
         return out
 
-    def score(self, terms: np.ndarray, live: np.ndarray) -> np.ndarray:
-        """Scores of the entries in the live ranges."""
-        sizes = self.begin[terms + 1] - self.begin[terms]
-        at = np.repeat(self.begin[terms], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        alive = np.zeros(self.most.shape[1], bool)
-        alive[live] = True
-        at = at[alive[self.entry[at] // ITEMS_PER_BLOCK]]
-        return np.bincount(self.entry[at], self.impact[at], len(self.item_of))
+    def scored(
+        self, own: np.ndarray, begin: np.ndarray, ends: np.ndarray, window: np.ndarray, block: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, entry, score) of the entries above the threshold in the live (window, block) pairs.
+
+        Window w has the terms ``own[begin[w] : ends[w]]``; the pairs are sorted. About ``TERMS_AT_ONCE``
+        terms of pairs are looked up at a time.
+        """
+        most = (ends - begin)[window].cumsum()
+        found = []
+        cuts = [0]
+        while cuts[-1] < len(window):  # slices end between windows
+            done = most[cuts[-1] - 1] if cuts[-1] else 0
+            to = max(int(np.searchsorted(most, done + TERMS_AT_ONCE)), cuts[-1] + 1)
+            cuts.append(int(np.searchsorted(window, window[to - 1], side="right")))
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            live, place = np.unique(window[a:z], return_inverse=True)
+            at, of = spread(begin[live], ends[live] - begin[live])
+            pair = np.unique(of * len(self.terms) + own[at])  # both halves of a window may have a word
+            of, term = pair // len(self.terms), pair % len(self.terms)
+            start = np.searchsorted(of, np.arange(len(live) + 1))
+            at, row = spread(start[place], start[place + 1] - start[place])
+            term, range_of = term[at], block[a:z][row]
+            has = np.flatnonzero(self.most[term, range_of] > 0)
+            term, row = term[has], row[has]
+            run = np.searchsorted(self.runs, term * self.most.shape[1] + range_of[has])
+            at, of = spread(self.run_begin[run], self.run_begin[run + 1] - self.run_begin[run])
+            spot = row[of] * ITEMS_PER_BLOCK + self.entry[at] % ITEMS_PER_BLOCK
+            scores = np.bincount(spot, self.impact[at], (z - a) * ITEMS_PER_BLOCK)
+            hit = np.flatnonzero(scores >= SCORE)
+            row, e = hit // ITEMS_PER_BLOCK, hit % ITEMS_PER_BLOCK
+            found.append((window[a:z][row], block[a:z][row] * ITEMS_PER_BLOCK + e, scores[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def hits(self, texts: pa.Array) -> list[list[tuple[int | None, float, float, float]]]:
         """For each text: (item_id, score, share of the question, share of the answer) of its hits."""
