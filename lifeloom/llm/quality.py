@@ -62,6 +62,8 @@ SYMBOLS = r"[#*$%&|<>]"
 PRIOR = 1.0
 #: Weights are kept as whole numbers of this many parts.
 PARTS = 10_000
+#: A fine weight counts so much in a packed one; sums of coarse weights of a few n-grams stay far below half of it.
+SPAN = 1 << 31
 
 
 def words_of(text: Column) -> Column:
@@ -230,30 +232,48 @@ def looked_up(rows: DataFrame, table: Column, use: Callable[[Column], Column], n
     return done.select(*own, F.explode(F.array("_made")).alias(name))
 
 
-def summed(grams: Column, weight: Callable[[Column], Column]) -> Column:
-    return F.aggregate(grams, F.lit(0).cast("long"), lambda a, b: a + weight(b))
+def packed_weights(coarse: DataFrame, fine: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, weight): for each fine class its weight, ``SPAN`` times, plus that of the coarse class it lies in.
 
+    Sums over a few n-grams are sums of both, see :func:`fine_part` and :func:`coarse_part`.
+    """
+    none = F.lit(0).cast("long")
+    ids = fine.sparkSession.range(buckets * FINER).withColumnRenamed("id", "bucket")
+    both = ids.join(fine.withColumnRenamed("weight", "_fine"), "bucket", "left")
+    heavy = coarse.select(F.col("bucket").alias("_coarse_bucket"), F.col("weight").alias("_coarse"))
+    both = both.join(heavy, F.col("bucket") % buckets == F.col("_coarse_bucket"), "left")
+    return both.select("bucket", (F.coalesce("_fine", none) * SPAN + F.coalesce("_coarse", none)).alias("weight"))
+
+
+def fine_part(packed: Column) -> Column:
+    return F.shiftright(packed + SPAN // 2, SPAN.bit_length() - 1)
+
+
+def coarse_part(packed: Column) -> Column:
+    return (packed + SPAN // 2).bitwiseAND(F.lit(SPAN - 1)) - SPAN // 2
 
-def scored(rows: DataFrame, coarse: Column, fine: Column, buckets: int) -> DataFrame:
-    """``score``, ``worst_word`` and ``worst_passage`` of rows that have ``_hashes``.
+
+def scored(rows: DataFrame, table: Column, buckets: int) -> DataFrame:
+    """``score``, ``worst_word`` and ``worst_passage`` of rows that have ``_hashes``, by packed weights.
 
     Each array that is used more than once is made by a generator, or it would be made anew for
     every use inside of a lambda.
     """
-    n, half = F.size("_hashes"), PASSAGE // 2
-    parted = rows.select("*", F.explode(F.array(ngrams(F.col("_hashes"), buckets * FINER))).alias("_grams"))
-    parted = looked_up(parted, fine, lambda t: F.transform("_grams", lambda b: F.get(t, b)), "_light")
-    parted = looked_up(parted, coarse, lambda t: summed(F.col("_grams"), lambda b: F.get(t, b % buckets)), "_heavy")
+    n, half, none = F.size("_hashes"), PASSAGE // 2, F.lit(0).cast("long")
+    hashes, place = F.col("_hashes"), lambda h: F.pmod(h, F.lit(buckets * FINER)).cast("int")
+
+    def with_pair(t: Column, x: Column, i: Column) -> Column:
+        pair = F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1))
+        return x + F.when(i < n - 1, F.get(t, place(pair))).otherwise(none)
+
+    parted = looked_up(rows, table, lambda t: F.transform(hashes, lambda h: F.get(t, place(h))), "_light")
+    parted = looked_up(parted, table, lambda t: F.transform("_light", lambda x, i: with_pair(t, x, i)), "_sums")
 
     def block(start: Column) -> Column:
-        """A pair belongs to the block of its first word; pairs stand after the n words."""
-        room, light = F.least(F.lit(half), n - start), F.col("_light")
+        """A pair belongs to the block of its first word."""
+        room, sums = F.least(F.lit(half), n - start), F.col("_sums")
         # single elements: a slice would copy the whole array for every block
-        total = F.aggregate(
-            F.sequence(start, start + room - 1),
-            F.lit(0).cast("long"),
-            lambda a, k: a + F.get(light, k) + F.when(k < n - 1, F.get(light, n + k)).otherwise(F.lit(0).cast("long")),
-        )
+        total = F.aggregate(F.sequence(start, start + room - 1), none, lambda a, k: a + F.get(sums, k))
         return F.struct(total.alias("total"), (room + F.least(room, n - 1 - start)).alias("count"))
 
     blocks = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, F.lit(half)), block)).otherwise(
@@ -263,18 +283,21 @@ def scored(rows: DataFrame, coarse: Column, fine: Column, buckets: int) -> DataF
 
     def window(i: Column) -> Column:
         a, b = F.get(parts, i), F.get(parts, F.least(i + 1, last))
-        return F.when(last == 0, a["total"] / a["count"]).otherwise((a["total"] + b["total"]) / (a["count"] + b["count"]))
+        both = fine_part(a["total"] + b["total"]) / (a["count"] + b["count"])
+        return F.when(last == 0, fine_part(a["total"]) / a["count"]).otherwise(both)
 
     windows = F.transform(F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), window)
     parted = parted.select("*", F.explode(F.array(blocks)).alias("_blocks"))
+    heavy = F.aggregate(parts, none, lambda a, x: a + coarse_part(x["total"]))
     part = F.lit(float(PARTS))
     return parted.withColumns(
         {
-            "score": F.col("_heavy") / part / F.greatest(F.size("_grams"), F.lit(1)),
-            "worst_word": F.coalesce(F.array_min(F.slice("_light", 1, n)), F.lit(0)) / part,
+            "score": heavy / part / F.greatest(2 * n - 1, F.lit(1)),
+            # the least packed weight has the least fine part
+            "worst_word": fine_part(F.coalesce(F.array_min("_light"), none)) / part,
             "worst_passage": F.array_min(windows) / part,
         }
-    ).drop("_grams", "_light", "_heavy", "_blocks")
+    ).drop("_light", "_sums", "_blocks")
 
 
 def with_words(docs: DataFrame, *given: Column) -> DataFrame:
@@ -308,12 +331,12 @@ def best_cut(good: dict[int, int], bad: dict[int, int], prior: int) -> int:
 STEPS, FAR = 200, 20
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, coarse: Column, fine: Column, buckets: int) -> dict[str, float]:
+def thresholds(docs: DataFrame, labels: DataFrame, table: Column, buckets: int) -> dict[str, float]:
     """The cut of each score, fitted on the documents held out."""
     rows = with_marks(columns(docs, "doc_id", "text"), held_ids(labels), "_junk", "_toxic", how="inner")
     # texts too short are rejected whatever their score
     rows = with_words(rows, F.col("_junk"), F.col("_toxic")).filter(F.size("_words") >= MIN_WORDS)
-    rows = scored(rows, coarse, fine, buckets)
+    rows = scored(rows, table, buckets)
     kinds = {"score": "_junk", "worst_word": "_toxic", "worst_passage": "_junk"}
     prior = {"score": round(THRESHOLD * STEPS), "worst_word": -FAR * STEPS, "worst_passage": -FAR * STEPS}
     step = lambda c: F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.col(c))) * STEPS)
@@ -338,9 +361,8 @@ def quality(
     Columns of the input that have the names of results are replaced.
     """
     counts = gram_counts(docs, labels, buckets * FINER)
-    coarse = weight_list(weights(counts, buckets), buckets)
-    fine = weight_list(fine_weights(counts), buckets * FINER)
-    cuts = thresholds(docs, labels, coarse, fine, buckets)
+    table = weight_list(packed_weights(weights(counts, buckets), fine_weights(counts), buckets), buckets * FINER)
+    cuts = thresholds(docs, labels, table, buckets)
     if threshold is not None:
         cuts["score"] = threshold
     names = (
@@ -350,7 +372,7 @@ def quality(
     others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.col("_words")
-    counted = scored(with_words(docs, *others), coarse, fine, buckets).withColumns(
+    counted = scored(with_words(docs, *others), table, buckets).withColumns(
         {
             "n_words": F.size(words).cast("long"),
             "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
